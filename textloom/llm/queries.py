@@ -4,10 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import table
-from . import bpe, sitelines
+from . import bpe, budget, leaks, nearsets, sitelines
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearsets.similar_pairs(table(spark, sf_dir, "fact_sets"))
+
+
+def p1_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per record with shingles: its class and the links of that class to other classes."""
+    sets = table(spark, sf_dir, "fact_sets")
+    links = nearsets.similar_classes(sets)
+    both = links.select(F.col("fp_a").alias("fp")).unionByName(links.select(F.col("fp_b").alias("fp"))).groupBy("fp").agg(F.count("*").alias("links"))
+    return nearsets.classes(sets).join(both, "fp", "left").select(F.col("id").alias("set_id"), F.col("fp").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"))
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,20 +30,57 @@ def p2_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sitelines.remove_repeated(table(spark, sf_dir, "documents")).select("doc_id", "clean_text")
 
 
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    state, counts = budget.update_counts(table(spark, sf_dir, "documents"))
+    return budget.audit(table(spark, sf_dir, "corpus_records"), state, counts)
+
+
+def p7_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, records = table(spark, sf_dir, "documents"), table(spark, sf_dir, "corpus_records")
+    state, counts = budget.update_counts(docs)
+    return budget.cube(budget.ledger(docs, records, state, counts))
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_corpus(table(spark, sf_dir, "documents"))
 
 
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p1_found": p1_found,
+    "p1_classes": p1_classes,
     "p2_found": p2_found,
     "p2_clean": p2_clean,
+    "p7_found": p7_found,
+    "p7_budget": p7_budget,
     "p8_ids": p8_ids,
+    "p9_found": p9_found,
 }
 
 #: Python's white space as a class for the SQL engine's regular expressions.
 _WS = r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
 
 SQL: dict[str, str] = {
+    "p1_found": r"""
+        WITH f AS (SELECT set_id, unnest(facts) AS fact FROM fact_sets),
+        w AS (SELECT set_id, regexp_extract_all(lower(fact), '[\p{L}\p{N}]+') AS w FROM f WHERE fact IS NOT NULL),
+        g AS (SELECT DISTINCT set_id, unnest(list_transform(range(1, len(w) - 1), i -> list_aggregate(w[i:i + 2], 'string_agg', ' '))) AS g FROM w WHERE len(w) >= 3),
+        n AS (SELECT set_id, count(*) AS n FROM g GROUP BY set_id),
+        c AS (SELECT a.set_id AS set_a, b.set_id AS set_b, count(*) AS c FROM g a JOIN g b ON a.g = b.g AND a.set_id < b.set_id GROUP BY 1, 2)
+        SELECT set_a, set_b FROM c JOIN n x ON x.set_id = set_a JOIN n y ON y.set_id = set_b WHERE 2 * c >= x.n + y.n - c""",
+    "p7_found": """
+        SELECT r.record_id FROM corpus_records r LEFT JOIN documents d ON r.slug = d.slug
+        WHERE r.char_count IS NULL OR d.slug IS NULL OR r.char_count <> coalesce(length(d.text), 0)""",
+    "p9_found": r"""
+        WITH t AS (SELECT item_id, passage AS x FROM eval_items UNION ALL SELECT item_id, question FROM eval_items),
+        iw AS (SELECT item_id, regexp_extract_all(lower(x), '[\p{L}\p{N}]+') AS w FROM t WHERE x IS NOT NULL),
+        ig AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 10), i -> list_aggregate(w[i:i + 11], 'string_agg', ' '))) AS g FROM iw WHERE len(w) >= 12),
+        dw AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents WHERE text IS NOT NULL),
+        dg AS (SELECT doc_id, unnest(list_transform(range(1, len(w) - 10), i -> list_aggregate(w[i:i + 11], 'string_agg', ' '))) AS g FROM dw WHERE len(w) >= 12)
+        SELECT DISTINCT doc_id, item_id FROM dg JOIN ig USING (g)""",
     "p2_found": rf"""
         WITH lines AS (
           SELECT doc_id, source, CAST(unnest(range(1, len(l) + 1)) AS INTEGER) AS line_no, unnest(l) AS raw
