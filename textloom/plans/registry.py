@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import corpus
+from . import compaction, corpus
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
-for _module in (corpus,):
+for _module in (corpus, compaction):
     QUERIES.update(_module.QUERIES)
     SQL.update(_module.SQL)
