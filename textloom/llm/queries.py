@@ -67,7 +67,7 @@ SQL: dict[str, str] = {
     "p1_found": r"""
         WITH f AS (SELECT set_id, unnest(facts) AS fact FROM fact_sets),
         w AS (SELECT set_id, regexp_extract_all(lower(fact), '[\p{L}\p{N}]+') AS w FROM f WHERE fact IS NOT NULL),
-        g AS (SELECT DISTINCT set_id, unnest(list_transform(range(1, len(w) - 1), i -> list_aggregate(w[i:i + 2], 'string_agg', ' '))) AS g FROM w WHERE len(w) >= 3),
+        g AS (SELECT DISTINCT set_id, unnest(list_transform(range(1, len(w) - 1), lambda i: list_aggregate(w[i:i + 2], 'string_agg', ' '))) AS g FROM w WHERE len(w) >= 3),
         n AS (SELECT set_id, count(*) AS n FROM g GROUP BY set_id),
         c AS (SELECT a.set_id AS set_a, b.set_id AS set_b, count(*) AS c FROM g a JOIN g b ON a.g = b.g AND a.set_id < b.set_id GROUP BY 1, 2)
         SELECT set_a, set_b FROM c JOIN n x ON x.set_id = set_a JOIN n y ON y.set_id = set_b WHERE 2 * c >= x.n + y.n - c""",
@@ -77,9 +77,9 @@ SQL: dict[str, str] = {
     "p9_found": r"""
         WITH t AS (SELECT item_id, passage AS x FROM eval_items UNION ALL SELECT item_id, question FROM eval_items),
         iw AS (SELECT item_id, regexp_extract_all(lower(x), '[\p{L}\p{N}]+') AS w FROM t WHERE x IS NOT NULL),
-        ig AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 10), i -> list_aggregate(w[i:i + 11], 'string_agg', ' '))) AS g FROM iw WHERE len(w) >= 12),
+        ig AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 10), lambda i: list_aggregate(w[i:i + 11], 'string_agg', ' '))) AS g FROM iw WHERE len(w) >= 12),
         dw AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents WHERE text IS NOT NULL),
-        dg AS (SELECT doc_id, unnest(list_transform(range(1, len(w) - 10), i -> list_aggregate(w[i:i + 11], 'string_agg', ' '))) AS g FROM dw WHERE len(w) >= 12)
+        dg AS (SELECT doc_id, unnest(list_transform(range(1, len(w) - 10), lambda i: list_aggregate(w[i:i + 11], 'string_agg', ' '))) AS g FROM dw WHERE len(w) >= 12)
         SELECT DISTINCT doc_id, item_id FROM dg JOIN ig USING (g)""",
     "p2_found": rf"""
         WITH lines AS (
