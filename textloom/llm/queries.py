@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import table
-from . import bpe, budget, leaks, nearsets, sitelines
+from . import bpe, budget, leaks, nearsets, sitelines, turns
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,9 +17,10 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p1_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per record with shingles: its class and the links of that class to other classes."""
     sets = table(spark, sf_dir, "fact_sets")
-    links = nearsets.similar_classes(sets)
+    signed = nearsets.signed_records(sets)
+    links = nearsets.similar_classes(sets, signed)
     both = links.select(F.col("fp_a").alias("fp")).unionByName(links.select(F.col("fp_b").alias("fp"))).groupBy("fp").agg(F.count("*").alias("links"))
-    return nearsets.classes(sets).join(both, "fp", "left").select(F.col("id").alias("set_id"), F.col("fp").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"))
+    return signed.join(both, "fp", "left").select(F.col("id").alias("set_id"), F.col("fp").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"))
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,6 +31,14 @@ def p2_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sitelines.remove_repeated(table(spark, sf_dir, "documents")).select("doc_id", "clean_text")
 
 
+def p4_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns.speaker_turns(table(spark, sf_dir, "documents"), table(spark, sf_dir, "corpus_records"), table(spark, sf_dir, "speakers"))
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p4_turns(spark, sf_dir).select("doc_id", "turn_no", "speaker_id")
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     state, counts = budget.update_counts(table(spark, sf_dir, "documents"))
     return budget.audit(table(spark, sf_dir, "corpus_records"), state, counts)
@@ -54,6 +63,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_classes": p1_classes,
     "p2_found": p2_found,
     "p2_clean": p2_clean,
+    "p4_found": p4_found,
+    "p4_turns": p4_turns,
     "p7_found": p7_found,
     "p7_budget": p7_budget,
     "p8_ids": p8_ids,
