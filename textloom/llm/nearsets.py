@@ -25,6 +25,7 @@ ids are one record per distinct content.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,12 +34,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..session import materialise, release
-from .words import WordHashes, words
+from .words import WordHashes
 
 GRAM, PERMS, ROWS, THRESHOLD = 3, 60, 3, 0.5
 BANDS = 2 * PERMS // ROWS
 #: Equal bits, of 120, under which no pair at J >= 0.5 is expected (3.9 deviations below the mean of 90).
 SKETCH_LEAST = 71
+_CUT = "\x1f"
+_tokens = re.compile(r"[^\W_]+|\x1f").findall
 _M = np.uint64(0xFFFFFFFFFFFF)
 _rng = np.random.default_rng(20240229)
 _MUL = _rng.integers(1, 1 << 63, PERMS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -49,27 +52,26 @@ _BIT_MUL = _rng.integers(1, 1 << 63, 2 * PERMS, dtype=np.uint64) * np.uint64(2)
 
 def shingle_sets(lists: list, hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
     """Distinct 48-bit shingle hashes of each list, sorted, and the list number of each."""
-    flat: list[str] = []
-    n_words, owner = [], []
+    texts: list[str] = []
+    owner = []
     for i, facts in enumerate(lists):
         for f in facts if facts is not None else ():
-            w = words(f)
-            if len(w) >= GRAM:
-                flat += w
-                n_words.append(len(w))
+            if f:
+                texts.append(f)
                 owner.append(i)
-    if not flat:
+    tokens = _tokens(_CUT.join(t.replace(_CUT, " ") if _CUT in t else t for t in texts).lower())
+    if len(tokens) < GRAM:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    h = hashes.array(flat)
-    part = np.repeat(np.arange(len(n_words)), n_words)
-    own = np.repeat(np.array(owner, dtype=np.int64), n_words)
+    h = hashes.array(tokens)
+    cut = h == np.uint64(hashes[_CUT])
+    part = np.cumsum(cut)
     g = h[:-2] * np.uint64(0x9E3779B97F4A7C15)
     g ^= g >> np.uint64(29)
     g = (g + h[1:-1]) * np.uint64(0xBF58476D1CE4E5B9)
     g ^= g >> np.uint64(31)
     g = (g + h[2:]) * np.uint64(0x94D049BB133111EB)
-    inside = part[:-2] == part[2:]
-    key = np.unique(own[:-2][inside].astype(np.uint64) << np.uint64(48) | g[inside] >> np.uint64(16))
+    inside = (part[:-2] == part[2:]) & ~cut[:-2]
+    key = np.unique(np.array(owner, dtype=np.uint64)[part[:-2][inside]] << np.uint64(48) | g[inside] >> np.uint64(16))
     return key & _M, (key >> np.uint64(48)).astype(np.int64)
 
 
@@ -92,14 +94,14 @@ def _set_hash(shingles: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def _bands(slots: np.ndarray) -> np.ndarray:
-    """(BANDS, sets) keys: the band number over 32 hashed bits."""
+    """(BANDS, sets) keys of 32 bits."""
     out = np.empty((BANDS, slots.shape[1]), dtype=np.int64)
     for b in range(BANDS):
         mixed = np.zeros(slots.shape[1], dtype=np.uint64)
         for r in range(ROWS):
             mixed = (mixed ^ slots[ROWS * b + r]) * _BAND_MUL[r]
             mixed ^= mixed >> np.uint64(31)
-        out[b] = (b << 32) | (mixed >> np.uint64(32)).astype(np.int64)
+        out[b] = (mixed >> np.uint64(32)).astype(np.int64)
     return out
 
 
@@ -138,20 +140,30 @@ def _unseen(fp: np.ndarray, seen: set) -> np.ndarray:
     return np.array(out, dtype=np.int64)
 
 
-def _emit_bands(ids, shingles, first, seen):
-    fp = _set_hash(shingles, first)
-    new = _unseen(fp, seen)
-    if len(new):
-        keys = _bands(signatures(shingles, first))[:, new]
-        yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.tile(fp[new], BANDS))], ["key", "fp"])
+def _emit_signatures(ids, shingles, first, seen):
+    slots = signatures(shingles, first)
+    s1, s2 = _sketch(slots)
+    keys = np.ascontiguousarray(_bands(slots).T.astype("<u4"))
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(ids), pa.array(_set_hash(shingles, first)), pa.array(s1), pa.array(s2), pa.array([k.tobytes() for k in keys], pa.binary())],
+        ["id", "fp", "s1", "s2", "bands"])
 
 
-def _emit_sketches(ids, shingles, first, seen):
-    fp = _set_hash(shingles, first)
-    new = _unseen(fp, seen)
-    if len(new):
-        s1, s2 = _sketch(signatures(shingles, first))
-        yield pa.RecordBatch.from_arrays([pa.array(fp[new]), pa.array(s1[new]), pa.array(s2[new])], ["fp", "s1", "s2"])
+def _band_rows(signed: DataFrame) -> DataFrame:
+    """(key, fp) for every band of every class; classes met before in a task are left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set = set()
+        high = np.arange(BANDS, dtype=np.int64) << 32
+        for b in batches:
+            for k in range(0, b.num_rows, 2000):
+                fp = b.column(0).slice(k, 2000).to_numpy(zero_copy_only=False)
+                new = _unseen(fp, seen)
+                if len(new):
+                    low = np.frombuffer(b"".join(b.column(1).slice(k, 2000).take(pa.array(new)).to_pylist()), dtype="<u4").reshape(-1, BANDS)
+                    yield pa.RecordBatch.from_arrays([pa.array((low.astype(np.int64) | high).ravel()), pa.array(np.repeat(fp[new], BANDS))], ["key", "fp"])
+
+    return signed.select("fp", "bands").mapInArrow(run, "key long, fp long")
 
 
 def _emit_sets(ids, shingles, first, seen):
@@ -162,10 +174,6 @@ def _emit_sets(ids, shingles, first, seen):
     yield pa.RecordBatch.from_arrays([pa.array(fp[new]), pa.array([raw[first[i]:ends[i]].tobytes() for i in new], pa.binary())], ["fp", "grams"])
 
 
-def _emit_members(ids, shingles, first, seen):
-    yield pa.RecordBatch.from_arrays([pa.array(_set_hash(shingles, first)), pa.array(ids)], ["fp", "id"])
-
-
 def _grams(raw: bytes) -> np.ndarray:
     a = np.zeros((len(raw) // 6, 8), dtype=np.uint8)
     a[:, :6] = np.frombuffer(raw, dtype=np.uint8).reshape(-1, 6)
@@ -183,22 +191,30 @@ def _similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([jaccard(x, y) for x, y in zip(a, b)], dtype="float64")
 
 
-def classes(df: DataFrame, id_col: str = "set_id", list_col: str = "facts") -> DataFrame:
-    """(fp, id): the class of equal shingle sets that each record is in."""
-    return _scan(df, id_col, list_col, _emit_members, "fp long, id long")
+def signed_records(df: DataFrame, id_col: str = "set_id", list_col: str = "facts") -> DataFrame:
+    """(id, fp, s1, s2, bands) of every record with shingles, as a table in the shared folder."""
+    return materialise(_scan(df, id_col, list_col, _emit_signatures, "id long, fp long, s1 long, s2 long, bands binary"), "signatures")
 
 
-def similar_classes(df: DataFrame, id_col: str = "set_id", list_col: str = "facts", threshold: float = THRESHOLD) -> DataFrame:
-    """(fp_a, fp_b, similarity) for all pairs of different classes at ``threshold`` (0.5 or more)."""
-    bands = _scan(df, id_col, list_col, _emit_bands, "key long, fp long").repartition("key")
+def _candidates(signed: DataFrame) -> DataFrame:
+    bands = _band_rows(signed).repartition("key")
     a, b = bands.select("key", F.col("fp").alias("fp_a")), bands.select("key", F.col("fp").alias("fp_b"))
-    pairs = a.join(b, "key").where("fp_a < fp_b").select("fp_a", "fp_b").distinct()
-    sketch = _scan(df, id_col, list_col, _emit_sketches, "fp long, s1 long, s2 long").dropDuplicates(["fp"])
+    return materialise(a.join(b, "key").where("fp_a < fp_b").select("fp_a", "fp_b").distinct(), "candidates")
+
+
+def _thinned(signed: DataFrame, pairs: DataFrame) -> DataFrame:
+    sketch = signed.select("fp", "s1", "s2").dropDuplicates(["fp"])
     sa = sketch.select(F.col("fp").alias("fp_a"), F.col("s1").alias("a1"), F.col("s2").alias("a2"))
     sb = sketch.select(F.col("fp").alias("fp_b"), F.col("s1").alias("b1"), F.col("s2").alias("b2"))
     unlike = F.bit_count(F.col("a1").bitwiseXOR(F.col("b1"))) + F.bit_count(F.col("a2").bitwiseXOR(F.col("b2")))
-    thin = pairs.join(sa, "fp_a").join(sb, "fp_b").where(2 * PERMS - unlike >= SKETCH_LEAST).select("fp_a", "fp_b")
-    thin = materialise(thin, "nearsets")
+    return materialise(pairs.join(sa, "fp_a").join(sb, "fp_b").where(2 * PERMS - unlike >= SKETCH_LEAST).select("fp_a", "fp_b"), "thinned")
+
+
+def similar_classes(df: DataFrame, signed: DataFrame, id_col: str = "set_id", list_col: str = "facts", threshold: float = THRESHOLD) -> DataFrame:
+    """(fp_a, fp_b, similarity) for all pairs of different classes at ``threshold`` (0.5 or more)."""
+    pairs = _candidates(signed)
+    release(df.sparkSession)
+    thin = _thinned(signed, pairs)
     release(df.sparkSession)
     sets = _scan(df, id_col, list_col, _emit_sets, "fp long, grams binary").dropDuplicates(["fp"])
     full = thin.join(sets.select(F.col("fp").alias("fp_a"), F.col("grams").alias("ga")), "fp_a").join(
@@ -208,8 +224,8 @@ def similar_classes(df: DataFrame, id_col: str = "set_id", list_col: str = "fact
 
 def similar_pairs(df: DataFrame, id_col: str = "set_id", list_col: str = "facts", threshold: float = THRESHOLD) -> DataFrame:
     """(set_a, set_b): every pair of records at the threshold, equal ones included."""
-    member = classes(df, id_col, list_col)
-    links = similar_classes(df, id_col, list_col, threshold)
+    member = signed_records(df, id_col, list_col)
+    links = similar_classes(df, member, id_col, list_col, threshold)
     ma, mb = member.select(F.col("fp").alias("fp_a"), F.col("id").alias("x")), member.select(F.col("fp").alias("fp_b"), F.col("id").alias("y"))
     far = links.join(ma, "fp_a").join(mb, "fp_b").select("x", "y")
     same = ma.join(mb, F.col("fp_a") == F.col("fp_b")).where("x < y").select("x", "y")
