@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import table
-from . import bpe, budget, leaks, nearsets, sitelines, turns
+from . import bpe, budget, leaks, mojibake, nearsets, sitelines, turns
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,6 +58,14 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
 
 
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mojibake.find_garbled(table(spark, sf_dir, "documents"))
+
+
+def p10_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mojibake.restore(table(spark, sf_dir, "documents")).where("garbled").select("doc_id", "restored")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p1_classes": p1_classes,
@@ -69,6 +77,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p7_budget": p7_budget,
     "p8_ids": p8_ids,
     "p9_found": p9_found,
+    "p10_found": p10_found,
+    "p10_restored": p10_restored,
 }
 
 #: Python's white space as a class for the SQL engine's regular expressions.
