@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import table
-from . import bpe, budget, leaks, mojibake, nearsets, sitelines, turns
+from . import bpe, budget, leaks, mojibake, nearsets, scans, sitelines, turns
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,6 +39,14 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p4_turns(spark, sf_dir).select("doc_id", "turn_no", "speaker_id")
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scans.find_defects(table(spark, sf_dir, "documents"))
+
+
+def p5_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scans.repair(table(spark, sf_dir, "documents"))
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     state, counts = budget.update_counts(table(spark, sf_dir, "documents"))
     return budget.audit(table(spark, sf_dir, "corpus_records"), state, counts)
@@ -73,6 +81,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_clean": p2_clean,
     "p4_found": p4_found,
     "p4_turns": p4_turns,
+    "p5_found": p5_found,
+    "p5_text": p5_text,
     "p7_found": p7_found,
     "p7_budget": p7_budget,
     "p8_ids": p8_ids,
