@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import table
-from . import bpe, budget, leaks, mojibake, nearsets, scans, sitelines, turns
+from . import blocklabel, bpe, budget, leaks, mojibake, nearsets, scans, sitelines, turns
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,6 +47,15 @@ def p5_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scans.repair(table(spark, sf_dir, "documents"))
 
 
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return blocklabel.find_items(table(spark, sf_dir, "blocks"), table(spark, sf_dir, "chunks"))
+
+
+def p6_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    source = blocklabel.texts(table(spark, sf_dir, "blocks"), table(spark, sf_dir, "chunks"))
+    return blocklabel.label(source).select("tbl", "row_id", "clean_text")
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     state, counts = budget.update_counts(table(spark, sf_dir, "documents"))
     return budget.audit(table(spark, sf_dir, "corpus_records"), state, counts)
@@ -83,6 +92,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p4_turns": p4_turns,
     "p5_found": p5_found,
     "p5_text": p5_text,
+    "p6_found": p6_found,
+    "p6_clean": p6_clean,
     "p7_found": p7_found,
     "p7_budget": p7_budget,
     "p8_ids": p8_ids,
