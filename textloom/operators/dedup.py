@@ -25,5 +25,5 @@ def distinct_lines(rows: DataFrame, group: str, raw: str) -> DataFrame:
     Parsed facts and raw lines are tagged, so that the two kinds never meet.
     """
     fact = F.get_json_object(raw, "$.fact")
-    item = F.when(fact.isNotNull(), F.struct(F.lit(0), fact)).otherwise(F.struct(F.lit(1), F.col(raw)))
+    item = F.when(fact.isNotNull(), F.struct(F.lit(0).alias("kind"), fact.alias("v"))).otherwise(F.struct(F.lit(1).alias("kind"), F.col(raw).alias("v")))
     return rows.groupBy(group).agg(F.count("*").alias("facts"), F.count_distinct(item).alias("unique"))

@@ -72,5 +72,5 @@ def facts_report(facts: DataFrame, pages: list[DataFrame], top: int = 10) -> Dat
         text.append(F.col(f"m{i}"))
     m = F.coalesce(*text)
     words, chars = F.coalesce(m["words"], F.lit(0)), F.coalesce(m["chars"], F.lit(0))
-    ratio = F.when(m.isNull(), "MISSING").when(words > 0, F.format_string("%.1f", F.col("facts") * 1000.0 / words)).otherwise("0.0")
+    ratio = F.when(m.isNull(), "MISSING").when(words > 0, F.format_string("%.1f", F.bround(F.col("facts") * F.lit(1000.0).cast("double") / words, 1))).otherwise("0.0")
     return best.select("path", "facts", "unique", words.cast("long").alias("words"), chars.cast("long").alias("chars"), ratio.alias("per_1k"))

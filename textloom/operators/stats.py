@@ -24,10 +24,15 @@ def corpus_stats(files: DataFrame, source: Column, n_bytes: Column, known: DataF
     return total.select(F.when(F.col("g") == 1, "TOTAL").otherwise(F.col("source")).alias("source"), "files", "bytes", token_estimate(F.col("bytes")).alias("tokens"))
 
 
+def one_decimal(x: Column) -> Column:
+    """Rounded to one decimal, halves to even as Python's format does."""
+    return F.bround(x, 1)
+
+
 def human_size(n_bytes: Column) -> Column:
     """Bytes as a short text in steps of 1024: '512.0 B', '1.5 KB', ... up to TB."""
     b = n_bytes.cast("double")
-    out = F.format_string("%.1f TB", b / float(1 << 40))
+    out = F.format_string("%.1f TB", one_decimal(b / float(1 << 40)))
     for limit, name in ((40, "GB"), (30, "MB"), (20, "KB"), (10, "B")):
-        out = F.when(F.abs(b) < float(1 << limit), F.format_string(f"%.1f {name}", b / float(1 << (limit - 10)))).otherwise(out)
+        out = F.when(F.abs(b) < float(1 << limit), F.format_string(f"%.1f {name}", one_decimal(b / float(1 << (limit - 10))))).otherwise(out)
     return F.when(b.isNotNull(), out)

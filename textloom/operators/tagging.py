@@ -25,7 +25,7 @@ def distribution(tagged: DataFrame) -> DataFrame:
     names = tagged.sparkSession.createDataFrame([(i, t) for i, t in enumerate((*TAGS, NO_LIST))], "ord int, tag string")
     x = names.join(tagged.groupBy("tag").agg(F.count("*").alias("n")), "tag", "left").select("ord", "tag", F.coalesce("n", F.lit(0)).alias("n"))
     total = F.sum("n").over(Window.partitionBy())
-    return x.select("ord", "tag", "n", F.when(total > 0, F.format_string("%.1f", F.col("n") * 100.0 / total)).otherwise("—").alias("share")).orderBy("ord").drop("ord")
+    return x.select("ord", "tag", "n", F.when(total > 0, F.format_string("%.1f", F.bround(F.col("n") * F.lit(100.0).cast("double") / total, 1))).otherwise("—").alias("share")).orderBy("ord").drop("ord")
 
 
 def front_matter(text: Column) -> Column:

@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import compaction, corpus
+from . import compaction, corpus, pages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
-for _module in (corpus, compaction):
+for _module in (corpus, pages, compaction):
     QUERIES.update(_module.QUERIES)
     SQL.update(_module.SQL)
