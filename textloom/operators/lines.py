@@ -90,7 +90,7 @@ def mark_empty_sections(rows: DataFrame, key: str) -> DataFrame:
     x = x.withColumn("grp", group)
     later = F.min("head").over(Window.partitionBy(key, "grp").orderBy("pos").rowsBetween(1, Window.unboundedFollowing))
     x = x.withColumn("later", later)
-    gone = F.col("head").isNotNull() & (F.col("next_content").isNull() | (F.col("later") <= F.col("head")))
+    gone = F.col("head").isNotNull() & (F.col("next_content").isNull() | F.coalesce(F.col("later") <= F.col("head"), F.lit(False)))
     x = x.withColumn("gone", gone)
     last_gone = F.last(F.when(F.col("head").isNotNull(), F.col("gone")), ignorenulls=True).over(w)
     blank = F.col("head").isNull() & ~F.col("content")
@@ -124,7 +124,7 @@ def blocks(docs: DataFrame, key: str, title: str, text: str) -> DataFrame:
     path = []
     for k in range(1, 7):
         above = [F.col(f"p{j}.pos") for j in range(1, k)]
-        top = F.greatest(F.lit(-1), *[F.coalesce(a, F.lit(-1)) for a in above])
+        top = F.greatest(F.lit(-1), F.lit(-1), *[F.coalesce(a, F.lit(-1)) for a in above])
         path.append(F.when(F.col(f"p{k}").isNotNull() & (F.col(f"p{k}.pos") > top), F.concat(F.lit("#" * k + " "), F.col(f"p{k}.name"))))
     crumbs = F.filter(F.array(*path), lambda c: c.isNotNull())
     x = x.withColumn("crumbs", crumbs)
