@@ -42,11 +42,8 @@ def render(chunk: Column) -> Column:
     def segment(b: Column, i: Column) -> Column:
         prev = F.when(i > 0, F.get(chunk, i - 1)["breadcrumb"]).otherwise(F.array().cast("array<string>"))
         crumb = b["breadcrumb"]
-        n = F.least(F.size(crumb), F.size(prev))
-        same = F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda k: F.get(crumb, k).eqNullSafe(F.get(prev, k)))).otherwise(F.array().cast("array<boolean>"))
-        stop = F.array_position(same, False)
-        common = F.when(stop > 0, (stop - 1).cast("int")).otherwise(n)
-        heads = F.slice(crumb, common + 1, F.greatest(F.size(crumb) - common, F.lit(0)))
+        # a heading is shown unless it and all before it stand in the block before as well
+        heads = F.filter(crumb, lambda h, k: F.slice(crumb, 1, k + 1) != F.slice(prev, 1, k + 1))
         return F.when(F.size(heads) > 0, F.concat(F.array_join(heads, "\n"), F.lit("\n\n"), b["text"])).otherwise(b["text"])
 
     return F.array_join(F.transform(chunk, segment), "\n\n")

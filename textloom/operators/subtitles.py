@@ -33,9 +33,9 @@ def clean_subtitles(raw: Column, strip_speakers: bool = False, strip_cues: bool
     """Spoken lines of an .srt or .vtt text, one cue a line; equal neighbours once; null gives null."""
     text = basic_entities(F.replace(raw, F.lit("﻿"), F.lit("")))
     cues = F.transform(F.split(text, "\\r?\\n\\r?\\n", -1), lambda c: _cue_text(c, strip_speakers, strip_cues))
-    spoken = F.filter(cues, lambda c: c != "")
-    kept = F.filter(spoken, lambda c, i: (i == 0) | (c != F.get(spoken, i - 1)))
-    joined = nfc(F.array_join(kept, "\n"))
+    joined = F.array_join(F.filter(cues, lambda c: c != ""), "\n")
+    # a cue is one line by now: a line that repeats the one before goes
+    joined = nfc(F.regexp_replace(joined, "(?d)(?m)^(.*)$(?:\n\\1$)+", "$1"))
     return strip(F.regexp_replace(F.regexp_replace(joined, "[ \\t]{2,}", " "), "\n{3,}", "\n\n"))
 
 
