@@ -78,7 +78,7 @@ def random_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _page_sets(spark: SparkSession, sf_dir: str) -> list[tuple[str, DataFrame]]:
     s = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("pageid"), F.col("s_name").alias("title"), F.lit(0).alias("ns"))
-    c = table(spark, sf_dir, "customer").where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("pageid"), F.col("c_name").alias("title"), F.lit(0).alias("ns"))
+    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("pageid"), F.col("c_name").alias("title"), F.lit(0).alias("ns"))
     return [("tree", s), ("banner", c)]
 
 
@@ -243,7 +243,7 @@ SQL = {
         WHERE kind = 'article' AND lower(replace(title, ' ', '_')) IN ('bitoh_zolis', 'nusot_solis', 'kokin_dudar', 'lobok_ripes', 'tokir_sosul')""",
     "merge_sources": """
         WITH u AS (SELECT s_suppkey AS pageid, s_name AS title, 0 AS ns, 'tree' AS source, 0 AS ord FROM supplier
-                   UNION ALL SELECT c_custkey, c_name, 0, 'banner', 1 FROM customer WHERE c_custkey % 2 = 0)
+                   UNION ALL SELECT c_custkey, c_name, 0, 'banner', 1 FROM customer)
         SELECT pageid, arg_min(title, ord) AS title, arg_min(ns, ord) AS ns, array_to_string(list_sort(list(DISTINCT source)), ',') AS sources FROM u GROUP BY pageid""",
     "redirect_filter": "SELECT p_partkey AS pageid, p_name AS title FROM part WHERE p_size % 7 <> 0 AND p_partkey % 11 <> 0",
     "title_resolution": """
