@@ -170,10 +170,31 @@ def pack(seqs: list[list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     return x, mask
 
 
-def train(docs: list[list[Leaf]], epochs: int = 12, batch: int = 64, seed: int = 7, say=None) -> BiLstm:
-    """Fit a model to the labels that the rules give to the leaves of ``docs`` (at most TRAIN_ROWS)."""
+def mixed(docs: list[list[Leaf]], n: int, rng: np.random.Generator) -> list[list[Leaf]]:
+    """Made-up documents: leaves of many documents in any order, and leaves with signs in any combination."""
+    kinds: dict[tuple, Leaf] = {}
+    for leaf in (x for d in docs for x in d):
+        kinds.setdefault((tuple(sorted(leaf.signs)), tuple(sorted(leaf.path))), leaf)
+    pool = list(kinds.values())
+    plain = [s for s in SIGNS if s not in ("blank", "breadcrumb")]
+    out = []
+    for _ in range(n):
+        doc = []
+        for _ in range(int(rng.integers(1, 9))):
+            if rng.random() < 0.5:
+                doc.append(pool[rng.integers(len(pool))])
+            else:
+                signs = set(rng.choice(plain, int(rng.integers(0, 4)), replace=False))
+                doc.append(Leaf("", {PATH[rng.integers(len(PATH))]} if rng.random() < 0.2 else set(), signs | ({"blank"} if rng.random() < 0.05 else set())))
+        out.append(doc)
+    return out
+
+
+def train(docs: list[list[Leaf]], epochs: int = 12, batch: int = 64, seed: int = 7, extra: int = 6000, say=None) -> BiLstm:
+    """Fit a model to the labels that the rules give to the leaves of ``docs`` (at most TRAIN_ROWS) and of ``extra`` mixed ones."""
     docs = [d for d in docs[:TRAIN_ROWS] if d and len(d) <= 200]
     rng = np.random.default_rng(seed)
+    docs = docs + mixed(docs, extra, rng)
     model = BiLstm.fresh(seed)
     xs = [[vector(leaf) for leaf in d] for d in docs]
     ys = [np.array([[name in labels for name in LABELS] for labels in map(teach, d)], np.float32) for d in docs]

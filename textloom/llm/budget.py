@@ -108,8 +108,8 @@ def update_counts(docs: DataFrame, known: DataFrame | None = None, slug_col: str
         fresh = full.groupBy("h1", "h2").agg(F.first("n_chars").alias("n_chars"), F.first("n_tokens").alias("n_tokens"))
         return full.select("slug", "h1", "h2"), fresh.select(F.lit(tok).alias("tok"), "h1", "h2", "n_chars", "n_tokens")
     state = content_state(docs, slug_col, text_col)
-    unseen = state.join(known.where(F.col("tok") == tok), ["h1", "h2"], "left_anti").select(F.col("slug").alias("new_slug")).distinct()
-    todo = docs.join(unseen, F.col(slug_col).cast("string").eqNullSafe(F.col("new_slug")), "left_semi")
+    unseen = state.join(known.where(F.col("tok") == tok), ["h1", "h2"], "left_anti").select(F.col("slug").alias("_new_slug")).distinct()
+    todo = docs.join(unseen, F.col(slug_col).cast("string").eqNullSafe(F.col("_new_slug")), "left_semi")
     fresh = measure(todo, slug_col, text_col, path).groupBy("h1", "h2").agg(F.first("n_chars").alias("n_chars"), F.first("n_tokens").alias("n_tokens"))
     fresh = fresh.join(known.where(F.col("tok") == tok), ["h1", "h2"], "left_anti")
     return state, known.unionByName(fresh.select(F.lit(tok).alias("tok"), "h1", "h2", "n_chars", "n_tokens"))

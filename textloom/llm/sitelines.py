@@ -129,8 +129,8 @@ def find_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **limits) -> DataFrame:
     """``docs`` with ``clean_text``: the text without its repeated lines; all rows and columns stay."""
     gone = deletions(repeated_lines(docs, id_col, text_col, source_col, **limits)).groupBy("doc").agg(
-        F.collect_set(F.struct("k1", "k2")).alias("gone")).select(F.col("doc").alias("gone_doc"), "gone")
-    joined = docs.join(gone, F.col(id_col).cast("long") == F.col("gone_doc"), "left")
+        F.collect_set(F.struct("k1", "k2")).alias("_gone")).select(F.col("doc").alias("_gone_doc"), "_gone")
+    joined = docs.join(gone, F.col(id_col).cast("long") == F.col("_gone_doc"), "left")
 
 
     @F.pandas_udf("string")
@@ -141,7 +141,7 @@ def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             out.append("\n".join(x for x in t.split("\n") if line_key(normal_line(x)) not in dead))
         return pd.Series(out)
 
-    lost = joined.where("gone is not null")
-    lost = lost.withColumn("clean_text", strip(F.col(text_col), "gone"))
-    kept = joined.where("gone is null").withColumn("clean_text", F.col(text_col))
-    return lost.unionByName(kept).drop("gone", "gone_doc")
+    lost = joined.where("_gone is not null")
+    lost = lost.withColumn("clean_text", strip(F.col(text_col), "_gone"))
+    kept = joined.where("_gone is null").withColumn("clean_text", F.col(text_col))
+    return lost.unionByName(kept).drop("_gone", "_gone_doc")

@@ -27,7 +27,7 @@ def main(data_dir: str, out: str = WEIGHTS) -> None:
     clean = [d for d in docs if not any(map(teach, d))][:len(marked) // 3]
     sample = marked + clean
     rng.shuffle(sample)
-    model = train(sample, epochs=14, say=print)
+    model = train(sample, epochs=16, say=print)
     np.savez_compressed(out, **{k: v.astype("float16") for k, v in model.p.items()})
 
 
