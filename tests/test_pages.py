@@ -191,3 +191,36 @@ def test_writers(spark, tmp_path):
     sinks.write_article_list(a, c, str(tmp_path / "l"))
     assert [r.value for r in spark.read.text(str(tmp_path / "l/titles")).collect()] == ["A", "b", "B"]
     assert [r.value for r in spark.read.text(str(tmp_path / "l/categories")).collect()] == ["X", "Y"]
+
+
+def test_generators():
+    seen = []
+
+    def post(url, body, headers):
+        seen.append((url, json.loads(body)))
+        return b'{"response": "{}", "prompt_eval_count": 3, "eval_count": 4}'
+
+    assert facts.choose_generator("m", post=post)("hello") == ("{}", 3, 4) and seen[0][1]["prompt"] == "hello"
+    with pytest.raises(SystemExit):
+        facts.choose_generator()
+
+
+def test_title_job(spark, tmp_path):
+    page = json.dumps({"query": {"categorymembers": [{"title": "B", "pageid": 1, "ns": 0, "type": "page"}, {"title": "Talk:A", "pageid": 2, "ns": 1, "type": "page"}, {"title": "A", "pageid": 3, "ns": 0, "type": "page"}]}})
+    out = str(tmp_path / "list")
+    got = jobs.fetch_titles(spark, "u", ["X", "Y"], out, fetch=lambda u, p: (200, {}, page))
+    assert sorted(r.title for r in got.collect()) == ["A", "B"]
+    assert jobs.fetch_titles(spark, "u", ["X"], out, fetch=None).count() == 2
+
+
+def test_transcript_service_job(spark, tmp_path):
+    def request(path, params):
+        if path == "/subtitles":
+            return 200, {}, json.dumps({"data": [{"attributes": {"files": [{"file_id": 5}]}}] if params.get("episode_number", 1) < 3 else []})
+        if path == "/download":
+            return 200, {}, '{"link": "L"}'
+        return 200, {}, "1\n00:00:01,000 --> 00:00:02,000\nHi\n"
+
+    client = web.SubtitleClient(request)
+    rows = jobs.fetch_transcripts(spark, client, [("A Show", 2000, "tv", None, 1), ("Film", 1990, "movie", "7", None)], str(tmp_path / "o")).collect()
+    assert sorted(r.slug for r in rows) == ["a-show-s01e01", "a-show-s01e02", "film"]

@@ -130,6 +130,48 @@ def tag_articles(spark: SparkSession, root: str, lists: DataFrame, dry_run: bool
     return tagging.distribution(tagged)
 
 
+def fetch_titles(spark: SparkSession, api: str, categories: list[str], out: str, force: bool = False, fetch: web.Fetch = web.http_fetch) -> DataFrame:
+    """The sorted titles of all main-namespace pages of the categories, as a list; an existing list is kept."""
+    if force or not os.path.exists(out):
+        parts = []
+        for c in categories:
+            rows = [(r[2],) for r in web.category_members(fetch, api, c, "page", 0) if r[4] == 0 and r[5] == "page"]
+            parts.append(spark.createDataFrame(rows, "title string"))
+        sinks.write_titles(parts, out)
+    return readers.read_titles(spark, out)
+
+
+def fetch_transcripts(spark: SparkSession, client: web.SubtitleClient, seeds: list[tuple], out: str, max_episodes: int = 30, force: bool = False, **options: bool) -> DataFrame:
+    """Transcripts of all seeds through a subtitle service, and the manifest; finished slugs are left out."""
+    done = set()
+    if not force and os.path.isdir(f"{out}/transcripts"):
+        done = {r["slug"] for r in spark.read.parquet(f"{out}/transcripts").select("slug").distinct().toLocalIterator()}
+
+    def clean(raw: str) -> str:
+        r = spark.createDataFrame([(raw,)], "raw string").select(subtitles.clean_subtitles(F.col("raw"), **options).alias("t")).first()
+        return r["t"] or ""
+
+    def slug(name: str) -> str:
+        return spark.createDataFrame([(name,)], "n string").select(fn.slugify(F.col("n")).alias("s")).first()["s"]
+
+    rows = list(web.fetch_seasons(client, seeds, done, slug, clean, max_episodes))
+    if rows:
+        schema = readers.MANIFEST_SCHEMA + ", transcript string"
+        names = [c.split()[0] for c in schema.split(", ")]
+        sinks.write_transcripts(spark.createDataFrame([tuple(r[n] for n in names) for r in rows], schema), out, append=not force)
+    return dedup.last_at_first_place(readers.read_manifest(spark, f"{out}/manifest"), "slug", "pos").orderBy("pos").drop("pos")
+
+
+def pdf_pages(data: bytes) -> list[str]:
+    """Page texts of a PDF; needs the optional PyMuPDF."""
+    try:
+        import fitz
+    except ImportError as e:
+        raise RuntimeError("reading PDF needs PyMuPDF") from e
+    with fitz.open(stream=data, filetype="pdf") as doc:
+        return [page.get_text() for page in doc]
+
+
 def corpus_statistics(spark: SparkSession, sources: list[tuple[str, str, tuple[str, ...]]]) -> DataFrame:
     """(source, files, bytes, tokens) of (name, folder, endings) sources and their total; empty ones appear."""
     known = spark.createDataFrame([(n,) for n, _, _ in sources], "source string")
@@ -152,10 +194,15 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("articles"), p.add_argument("api"), p.add_argument("out"), p.add_argument("--letters", nargs="*"), p.add_argument("--limit", type=int, default=0), p.add_argument("--overwrite", action="store_true")
     p = sub.add_parser("transcripts")
     p.add_argument("root"), p.add_argument("out"), p.add_argument("--strip-speakers", action="store_true"), p.add_argument("--keep-cues", action="store_true"), p.add_argument("--force", action="store_true")
+    p = sub.add_parser("books")
+    p.add_argument("root"), p.add_argument("out"), p.add_argument("--prefix", default=""), p.add_argument("--force", action="store_true")
+    p = sub.add_parser("titles")
+    p.add_argument("api"), p.add_argument("out"), p.add_argument("categories", nargs="+"), p.add_argument("--force", action="store_true")
     p = sub.add_parser("facts")
     p.add_argument("root"), p.add_argument("out"), p.add_argument("--max-words", type=int, default=chunking.MAX_WORDS), p.add_argument("--min-words", type=int, default=80), p.add_argument("--limit", type=int, default=0)
     p.add_argument("--shuffle-seed", type=int), p.add_argument("--names", nargs="*"), p.add_argument("--letters", nargs="*"), p.add_argument("--skip-suffix"), p.add_argument("--append", action="store_true")
     p.add_argument("--overwrite", action="store_true"), p.add_argument("--dry-run", action="store_true")
+    p.add_argument("--local-model"), p.add_argument("--hosted-url")
     p = sub.add_parser("tag")
     p.add_argument("root"), p.add_argument("lists", nargs="+", metavar="TAG=FILE"), p.add_argument("--dry-run", action="store_true"), p.add_argument("--limit", type=int, default=0)
     p = sub.add_parser("stats")
@@ -170,8 +217,14 @@ def main(argv: list[str] | None = None) -> int:
         out = scrape(spark, a.articles, a.api, a.out, a.letters, a.limit, a.overwrite)
     elif a.command == "transcripts":
         out = clean_transcripts(spark, a.root, a.out, a.strip_speakers, a.keep_cues, a.force)
+    elif a.command == "books":
+        out = extract_books(spark, a.root, a.out, pdf_pages, a.prefix, a.force)
+    elif a.command == "titles":
+        out = fetch_titles(spark, a.api, a.categories, a.out, a.force)
     elif a.command == "facts":
-        out = generate_facts(spark, a.root, a.out, max_words=a.max_words, append=a.append, overwrite=a.overwrite, dry_run=a.dry_run, min_words=a.min_words, limit=a.limit,
+        named = a.local_model or a.hosted_url
+        gen = fact_ops.choose_generator(a.local_model, hosted_url=a.hosted_url, key=os.environ.get("TEXTLOOM_MODEL_KEY")) if named else fact_ops.echo_generator
+        out = generate_facts(spark, a.root, a.out, gen, max_words=a.max_words, append=a.append, overwrite=a.overwrite, dry_run=a.dry_run, min_words=a.min_words, limit=a.limit,
                              sample_seed=a.shuffle_seed, names=a.names, shards=a.letters, skip_suffix=a.skip_suffix)
     elif a.command == "tag":
         lists = None

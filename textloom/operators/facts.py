@@ -34,6 +34,37 @@ def echo_generator(prompt: str) -> tuple[str, int, int]:
     return json.dumps({"facts": facts}), len(prompt) // 4, sum(map(len, facts)) // 4
 
 
+class ServiceGenerator:
+    """A model behind an HTTP interface: ``body`` makes the request, ``read`` gives (answer, tokens in, tokens out) of its JSON."""
+
+    def __init__(self, url: str, body: Callable[[str], dict], read: Callable[[dict], tuple[str, int, int]], headers: dict[str, str] | None = None,
+                 post: Callable[[str, bytes, dict[str, str]], bytes] | None = None):
+        self.url, self.body, self.read, self.headers, self.post = url, body, read, headers or {}, post or _post
+
+    def __call__(self, prompt: str) -> tuple[str, int, int]:
+        raw = self.post(self.url, json.dumps(self.body(prompt)).encode(), {"Content-Type": "application/json", **self.headers})
+        return self.read(json.loads(raw))
+
+
+def _post(url: str, body: bytes, headers: dict[str, str]) -> bytes:
+    from urllib.request import Request, urlopen
+
+    with urlopen(Request(url, data=body, headers=headers), timeout=300) as r:
+        return r.read()
+
+
+def choose_generator(local_model: str | None = None, local_url: str = "http://127.0.0.1:11434/api/generate", hosted_url: str | None = None, key: str | None = None, post=None) -> Generator:
+    """A local model if one is named, else the hosted one, which needs a key; a local model costs nothing per token."""
+    if local_model:
+        return ServiceGenerator(local_url, lambda p: {"model": local_model, "prompt": p, "format": "json", "stream": False},
+                                lambda d: (d["response"], int(d.get("prompt_eval_count", 0)), int(d.get("eval_count", 0))), post=post)
+    if not hosted_url or not key:
+        raise SystemExit(2)
+    return ServiceGenerator(hosted_url, lambda p: {"contents": [{"parts": [{"text": p}]}], "generationConfig": {"responseMimeType": "application/json"}},
+                            lambda d: (d["candidates"][0]["content"]["parts"][0]["text"], int(d.get("usageMetadata", {}).get("promptTokenCount", 0)), int(d.get("usageMetadata", {}).get("candidatesTokenCount", 0))),
+                            {"x-goog-api-key": key}, post)
+
+
 def parse_answer(answer: str) -> list[str]:
     """The facts of an answer; ValueError if it is not {"facts": [strings]}."""
     value = json.loads(answer)
@@ -94,7 +125,7 @@ def cost(tokens_in: Column, tokens_out: Column, price_in: float = PRICE_IN, pric
 
 def totals(results: DataFrame, price_in: float = PRICE_IN, price_out: float = PRICE_OUT) -> DataFrame:
     """One row: pages, failures, facts, dropped, tokens and cost of a run."""
-    p = complete_pages(results).agg(F.count("*").alias("pages"), F.coalesce(F.sum(F.col("failed").cast("int")), F.lit(0)).alias("failures"),
+    p = complete_pages(results).agg(F.lit(0).alias("one"), F.count("*").alias("pages"), F.coalesce(F.sum(F.col("failed").cast("int")), F.lit(0)).alias("failures"),
                                     F.coalesce(F.sum("tokens_in"), F.lit(0)).alias("tokens_in"), F.coalesce(F.sum("tokens_out"), F.lit(0)).alias("tokens_out"))
-    f = kept_facts(results).agg(F.coalesce(F.sum((~F.col("dropped")).cast("int")), F.lit(0)).alias("facts"), F.coalesce(F.sum(F.col("dropped").cast("int")), F.lit(0)).alias("dropped"))
-    return p.join(f, F.lit(True)).withColumn("cost", cost(F.col("tokens_in"), F.col("tokens_out"), price_in, price_out))
+    f = kept_facts(results).agg(F.lit(0).alias("one"), F.coalesce(F.sum((~F.col("dropped")).cast("int")), F.lit(0)).alias("facts"), F.coalesce(F.sum(F.col("dropped").cast("int")), F.lit(0)).alias("dropped"))
+    return p.join(f, "one").drop("one").withColumn("cost", cost(F.col("tokens_in"), F.col("tokens_out"), price_in, price_out))
