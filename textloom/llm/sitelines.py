@@ -123,14 +123,15 @@ def find_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """(id_col, line_no) of every line that its source repeats."""
     gone = deletions(repeated_lines(docs, id_col, text_col, source_col, **limits))
     rows = line_rows(docs, id_col, text_col, source_col).select("doc", "line_no", "k1", "k2")
-    return rows.join(gone, ["doc", "k1", "k2"], "left_semi").select(F.col("doc").alias(id_col), "line_no").distinct()
+    # a packed block says little of what it unpacks to, so its size must not decide for a broadcast
+    return rows.join(gone.hint("merge"), ["doc", "k1", "k2"], "left_semi").select(F.col("doc").alias(id_col), "line_no").distinct()
 
 
 def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **limits) -> DataFrame:
     """``docs`` with ``clean_text``: the text without its repeated lines; all rows and columns stay."""
     gone = deletions(repeated_lines(docs, id_col, text_col, source_col, **limits)).groupBy("doc").agg(
         F.collect_set(F.struct("k1", "k2")).alias("_gone")).select(F.col("doc").alias("_gone_doc"), "_gone")
-    joined = docs.join(gone, F.col(id_col).cast("long") == F.col("_gone_doc"), "left")
+    joined = docs.join(gone.hint("merge"), F.col(id_col).cast("long") == F.col("_gone_doc"), "left")
 
 
     @F.pandas_udf("string")
