@@ -57,9 +57,9 @@ SWAPS: list[tuple[str, ...]] = [
 #: Swaps into another alphabet.
 _alphabets = {i for i, s in enumerate(SWAPS) if s[-1] in ("cp1251", "koi8_r", "cp866", "iso8859-5")}
 #: Log-odds that a single run must reach, and evidence that a run adds at least.
-RUN_EVIDENCE, DOC_EVIDENCE = 2.0, 1.0
-#: More is asked of swaps of single bytes, whose reversal never fails.
-SINGLE_EVIDENCE = 4.0
+RUN_EVIDENCE, DOC_EVIDENCE = 2.8, 1.0
+#: The same for swaps of single bytes; more is asked of swaps into another alphabet, whose reversal never fails.
+SINGLE_EVIDENCE, ALPHABET_EVIDENCE = -0.8, 4.0
 
 
 def _page(codec: str) -> dict[int, int]:
@@ -323,7 +323,7 @@ def examine(model: Bigrams, text: str, weight: dict[int, float]) -> tuple[bool,
                 for i, _, e in ev:
                     if e > RUN_EVIDENCE:
                         per_swap[i] += e
-    believed = {i for i, e in per_swap.items() if e + math.log(weight.get(i, PRIOR_SWAP) / PRIOR_CLEAN) > (SINGLE_EVIDENCE if SWAPS[i] in _single else DOC_EVIDENCE)}
+    believed = {i for i, e in per_swap.items() if e + math.log(weight.get(i, PRIOR_SWAP) / PRIOR_CLEAN) > (ALPHABET_EVIDENCE if i in _alphabets else SINGLE_EVIDENCE if SWAPS[i] in _single else DOC_EVIDENCE)}
     fixes: dict[int, dict[tuple[str, str, str], str]] = {}
     for k, c, ev in places:
         good = [(e, r) for i, r, e in ev if i in believed and e > 0]
