@@ -62,6 +62,11 @@ RUN_EVIDENCE, DOC_EVIDENCE = 2.8, 1.0
 SINGLE_EVIDENCE, ALPHABET_EVIDENCE = -0.8, 4.0
 
 
+#: Code pages of Latin letters; their texts have no three accented letters in a row.
+_latin = ("cp1252", "mac_roman", "cp850")
+_accents = re.compile(r"[^\W\d_\x00-\x7f]{3}")
+
+
 def _page(codec: str) -> dict[int, int]:
     """Code point -> byte of a code page's upper half; unassigned bytes stand for themselves."""
     table = {}
@@ -165,7 +170,7 @@ def readings(run: str) -> list[tuple[int, str]]:
         got = []
         for i, s in enumerate(SWAPS):
             r = undo(run, s)
-            if r is not None and r != run and not any(unicodedata.category(c) == "Cc" or FOLD[ord(c)] == OTHER for c in r):
+            if r is not None and r != run and not any(unicodedata.category(c) == "Cc" or FOLD[ord(c)] == OTHER for c in r) and not (s[-1] in _latin and _accents.search(r)):
                 got.append((i, r))
         _readings[run] = got
     return got
@@ -181,7 +186,9 @@ def evidence(model: Bigrams, left: str, run: str, right: str) -> list[tuple[int,
     if not found:
         return []
     base = model.score(left, run, right)
-    return [(i, r, model.score(left, r, right) - base) for i, r in found]
+    # a sign between blanks ("3 ÷ 2") is no letter of a word
+    sign = len(run) == 1 and not run.isalpha() and not left.isalpha() and not right.isalpha()
+    return [(i, r, model.score(left, r, right) - base) for i, r in found if not (sign and r.isalpha())]
 
 
 def _contexts(text: str) -> Iterator[tuple[str, str, str]]:
