@@ -37,7 +37,7 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     root = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
     if not root:
         root = "file://" + os.path.join(tempfile.gettempdir(), f"textloom-{os.getuid()}")
-        spark.conf.set(CHECKPOINT_KEY, root)
+        spark.sparkContext.setCheckpointDir(root)
     return f"{root.rstrip('/')}/textloom/{name}-{uuid.uuid4().hex}"
 
 
