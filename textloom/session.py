@@ -25,7 +25,17 @@ def build_session(master: str = "local[8]", app: str = "textloom", **conf: str)
     )
     for k, v in conf.items():
         b = b.config(k, v)
-    return b.getOrCreate()
+    return share_package(b.getOrCreate())
+
+
+def share_package(spark: SparkSession) -> SparkSession:
+    """Let Python workers find this package wherever the driver was started from."""
+    home = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if home not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([home, *paths])
+    return spark
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
@@ -55,4 +65,5 @@ def release(spark: SparkSession) -> None:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table of a data folder."""
+    return share_package(spark).read.parquet(f"{sf_dir}/{name}.parquet")

@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..session import shared_dir
+from ..session import share_package, shared_dir
 
 _OUTER = " \t\r\n\f\v﻿ "
 TARGET_BYTES = 128 << 20
@@ -144,4 +144,4 @@ def write_compacted(lines: DataFrame, out_dir: str, target_bytes: int = TARGET_B
 
 def ingest_table(spark: SparkSession, path: str) -> DataFrame:
     """Lines of a table of stored files, through a fresh run of the stream."""
-    return ingest(spark, path, spark.read.parquet(path).schema, shared_dir(spark, "compactor"))
+    return ingest(share_package(spark), path, spark.read.parquet(path).schema, shared_dir(spark, "compactor"))
