@@ -1,4 +1,7 @@
 import datetime as dt
+import glob
+import os
+import time
 
 from textloom.session import shared_dir
 from textloom.streaming import compactor, incremental
@@ -59,3 +62,36 @@ def test_incremental_conversion(spark, tmp_path):
     state = shared_dir(spark, "pages")
     assert incremental.convert_arriving(spark, path, state).count() == 1
     assert incremental.convert_arriving(spark, path, state).count() == 1
+
+
+def add_old_file(df, path, days):
+    """Append one file whose modification time lies ``days`` back, as a copy that keeps its time has it."""
+    before = set(glob.glob(f"{path}/*.parquet"))
+    df.coalesce(1).write.mode("append").parquet(path)
+    (new,) = set(glob.glob(f"{path}/*.parquet")) - before
+    at = time.time() - days * 86400
+    os.utime(new, (at, at))
+
+
+def test_late_files_with_old_times_are_read(spark, tmp_path):
+    path, state = str(tmp_path / "files"), shared_dir(spark, "late")
+    spark.createDataFrame([(1, FACT, T[0], None)], SCHEMA).coalesce(1).write.parquet(path)
+    schema = spark.read.parquet(path).schema
+    assert compactor.ingest(spark, path, schema, state).count() == 1
+    add_old_file(spark.createDataFrame([(2, '{"slug": "ten days"}', T[1], None)], SCHEMA), path, 10)
+    add_old_file(spark.createDataFrame([(3, '{"slug": "thirty years"}', T[1], None)], SCHEMA), path, 11000)
+    spark.createDataFrame([(4, '{"slug": "new"}', T[1], None)], SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    for _ in range(2):
+        lines = compactor.ingest(spark, path, schema, state, files_per_batch=1)
+        assert sorted(r.file_id for r in lines.collect()) == [1, 2, 3, 4]
+    assert compactor.kept_records(lines).count() == 4
+
+
+def test_late_pages_with_old_times_are_converted(spark, tmp_path):
+    path, state = str(tmp_path / "pages"), shared_dir(spark, "late-pages")
+    page = lambda title: spark.createDataFrame([(title, "word " * 60)], "title string, wikitext string")
+    page("A").coalesce(1).write.parquet(path)
+    assert incremental.convert_arriving(spark, path, state).count() == 1
+    add_old_file(page("B"), path, 10)
+    for _ in range(2):
+        assert incremental.convert_arriving(spark, path, state).count() == 2

@@ -32,6 +32,8 @@ from ..session import share_package, shared_dir
 
 _OUTER = " \t\r\n\f\v﻿ "
 TARGET_BYTES = 128 << 20
+#: By default Spark's file stream passes over new files that are over a week older than the newest one seen; this is longer than any file's age.
+MAX_FILE_AGE = "1000000d"
 
 LINES = "file_id long, line_no int, modified_at timestamp_ntz, kind string, k1 long, k2 long, record string"
 
@@ -94,7 +96,7 @@ def parse_files(files: DataFrame, id_col: str = "file_id", body_col: str = "body
 def ingest(spark: SparkSession, path: str, schema: T.StructType, state_dir: str, files_per_batch: int = 1000, **cols: str) -> DataFrame:
     """Process the files under ``path`` that ``state_dir`` has not seen; all lines so far.
 
-    Call it again with the same ``state_dir`` to take in files that arrived since.
+    Call it again with the same ``state_dir`` to take in files that arrived since, however old their modification times are.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -102,7 +104,7 @@ def ingest(spark: SparkSession, path: str, schema: T.StructType, state_dir: str,
 
     if not any(c in path for c in "*?[{"):
         path = f"{path[:-1]}[{path[-1]}]"  # as a pattern, a single stored file is accepted as well as a folder of them
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).option("maxFileAge", MAX_FILE_AGE).parquet(path)
     query = stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{state_dir}/checkpoint").trigger(availableNow=True).start()
     query.awaitTermination()
     return spark.read.schema(LINES).parquet(f"{state_dir}/batches")
