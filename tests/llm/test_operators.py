@@ -6,7 +6,7 @@ import re
 import numpy as np
 import pytest
 
-from textloom.llm import bitmaps, blocklabel, bpe, budget, leaks, mojibake, nearsets, scans, sitelines, turns
+from textloom.llm import bitmaps, blocklabel, bpe, budget, leaks, mojibake, nearsets, queries, scans, sitelines, turns
 from textloom.llm.markup_rules import LABELS, leaves, teach
 from textloom.llm.words import WordHashes, words
 
@@ -57,6 +57,17 @@ def test_similar_pairs_match_brute_force(spark):
     assert nearsets.similar_pairs(empty).count() == 0
 
 
+def test_every_record_has_a_class_row(spark, tmp_path):
+    rows = [(1, ["the same few words again"]), (2, ["The same few words AGAIN"]), (3, ["the same few words again now"]), (4, ["quite other things stand here"]),
+            (5, None), (6, []), (7, [None, "", "two words"]), (8, ["x y"])]
+    spark.createDataFrame(rows, "set_id long, facts array<string>").repartition(3).write.parquet(str(tmp_path / "fact_sets.parquet"))
+    got = queries.p1_classes(spark, str(tmp_path)).collect()
+    by = {r.set_id: (r.class_id, r.links) for r in got}
+    assert len(got) == len(by) == len(rows)
+    assert by[1] == by[2] and by[1][0] != by[3][0] and [by[k][1] for k in (1, 3, 4)] == [1, 1, 0]
+    assert all(by[k] == (None, 0) for k in (5, 6, 7, 8)) and all(by[k][0] is not None for k in (1, 2, 3, 4))
+
+
 def test_many_copies_stay_one_class(spark):
     rows = [(i, ["the same few words again"]) for i in range(300)] + [(1000, ["the same few words again now"])]
     signed = nearsets.signed_records(spark.createDataFrame(rows, "set_id long, facts array<string>").repartition(5))

@@ -111,8 +111,9 @@ def _sketch(slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (bits[:PERMS] * half).sum(axis=0), (bits[PERMS:] * half).sum(axis=0)
 
 
-def _scan(df: DataFrame, id_col: str, list_col: str, emit, schema: str) -> DataFrame:
-    src = df.where(F.col(list_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(list_col).cast("array<string>").alias("items"))
+def _scan(df: DataFrame, id_col: str, list_col: str, emit, schema: str, bare=None) -> DataFrame:
+    some = F.col(id_col).isNotNull() if bare else F.col(list_col).isNotNull() & F.col(id_col).isNotNull()
+    src = df.where(some).select(F.col(id_col).cast("long").alias("id"), F.col(list_col).cast("array<string>").alias("items"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, seen = WordHashes(), set()
@@ -124,6 +125,8 @@ def _scan(df: DataFrame, id_col: str, list_col: str, emit, schema: str) -> DataF
                     first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
                     ids = part.column(0).to_numpy(zero_copy_only=False)[own[first]]
                     yield from emit(ids, shingles, first, seen)
+                if bare and len(rest := np.setdiff1d(np.arange(part.num_rows), own)):
+                    yield from bare(part.column(0).to_numpy(zero_copy_only=False)[rest])
 
     return src.mapInArrow(run, schema)
 
@@ -149,6 +152,11 @@ def _emit_signatures(ids, shingles, first, seen):
         ["id", "fp", "s1", "s2", "bands"])
 
 
+def _emit_bare(ids):
+    none = [pa.nulls(len(ids), t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.binary())]
+    yield pa.RecordBatch.from_arrays([pa.array(ids), *none], ["id", "fp", "s1", "s2", "bands"])
+
+
 def _band_rows(signed: DataFrame) -> DataFrame:
     """(key, fp) for every band of every class; classes met before in a task are left out."""
 
@@ -191,9 +199,10 @@ def _similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([jaccard(x, y) for x, y in zip(a, b)], dtype="float64")
 
 
-def signed_records(df: DataFrame, id_col: str = "set_id", list_col: str = "facts") -> DataFrame:
-    """(id, fp, s1, s2, bands) of every record with shingles, as a table in the shared folder."""
-    return materialise(_scan(df, id_col, list_col, _emit_signatures, "id long, fp long, s1 long, s2 long, bands binary"), "signatures")
+def signed_records(df: DataFrame, id_col: str = "set_id", list_col: str = "facts", bare: bool = False) -> DataFrame:
+    """(id, fp, s1, s2, bands) of every record with shingles, as a table in the shared folder; with ``bare`` of the others too, all null but the id."""
+    rows = _scan(df, id_col, list_col, _emit_signatures, "id long, fp long, s1 long, s2 long, bands binary", _emit_bare if bare else None)
+    return materialise(rows, "signatures")
 
 
 def _candidates(signed: DataFrame) -> DataFrame:
@@ -222,6 +231,20 @@ def similar_classes(df: DataFrame, signed: DataFrame, id_col: str = "set_id", li
     return full.select("fp_a", "fp_b", _similarity("ga", "gb").alias("similarity")).where(F.col("similarity") >= threshold)
 
 
+def class_table(df: DataFrame, id_col: str = "set_id", list_col: str = "facts") -> DataFrame:
+    """(id_col, class_id, links): every record of ``df`` with its class and the links of that class to other classes.
+
+    A record without shingles has a null class and 0 links.
+    """
+    records = signed_records(df, id_col, list_col, bare=True)
+    signed = records.where("fp is not null")
+    links = similar_classes(df, signed, id_col, list_col)
+    both = links.select(F.explode(F.array("fp_a", "fp_b")).alias("fp")).groupBy("fp").agg(F.count("*").alias("links"))
+    classes = signed.select("id", "fp").join(both, "fp", "left").select("id", "fp", F.coalesce("links", F.lit(0)).alias("links"))
+    none = records.where("fp is null").select("id", "fp", F.lit(0).cast("long").alias("links"))
+    return classes.unionByName(none).select(F.col("id").alias(id_col), F.col("fp").alias("class_id"), "links")
+
+
 def similar_pairs(df: DataFrame, id_col: str = "set_id", list_col: str = "facts", threshold: float = THRESHOLD) -> DataFrame:
     """(set_a, set_b): every pair of records at the threshold, equal ones included."""
     member = signed_records(df, id_col, list_col)

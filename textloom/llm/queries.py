@@ -15,12 +15,8 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p1_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per record with shingles: its class and the links of that class to other classes."""
-    sets = table(spark, sf_dir, "fact_sets")
-    signed = nearsets.signed_records(sets)
-    links = nearsets.similar_classes(sets, signed)
-    both = links.select(F.col("fp_a").alias("fp")).unionByName(links.select(F.col("fp_b").alias("fp"))).groupBy("fp").agg(F.count("*").alias("links"))
-    return signed.join(both, "fp", "left").select(F.col("id").alias("set_id"), F.col("fp").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"))
+    """One row per record: its class and the links of that class to other classes; no class where it has no shingles."""
+    return nearsets.class_table(table(spark, sf_dir, "fact_sets"))
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
