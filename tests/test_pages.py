@@ -77,6 +77,21 @@ def test_dedup_and_selection(spark):
     assert [r.path for r in selection.select_pages(p, names=["A b"]).collect()] == ["x/A/a b.md"]
 
 
+def test_shards_and_limit_are_options(spark, tmp_path):
+    from textloom.plans import registry
+
+    titles = ["Kip", "Ada", "Dun", "Zed", "Bo", "Eve", "Fay", "Tom"]
+    rows = [(i, t, "article", "w " * 100, "s2" if t == "Ada" else "s1") for i, t in zip((1, 2, 3, 4, 6, 7, 8, 11), titles)]
+    rows += [(5, "Done", "article", "w " * 100, "s1"), (12, "Short", "article", "w " * 99, "s1"), (9, "Old", "article", "w " * 100, "s1")]
+    spark.createDataFrame(rows, "doc_id long, title string, kind string, text string, source string").repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    got = [r.path for r in registry.QUERIES["all_pages"](spark, str(tmp_path)).collect()]
+    assert got == ["s1/B/Bo-6.md", "s1/D/Dun-3.md", "s1/E/Eve-7.md", "s1/F/Fay-8.md", "s1/K/Kip-1.md", "s1/T/Tom-11.md", "s1/Z/Zed-4.md", "s2/A/Ada-2.md"]
+    p = spark.createDataFrame([(x, "w " * 80) for x in reversed(got)], "path string, text string")
+    chosen = lambda **options: [r.path for r in selection.select_pages(p, **options).collect()]
+    assert chosen() == got and chosen(limit=3) == got[:3] and chosen(limit=99) == got
+    assert chosen(shards=["A", "E"]) == [got[2], got[7]] and chosen(shards=["A", "E"], limit=1) == [got[2]] and chosen(shards=["X"]) == []
+
+
 def test_graph_cycle_and_depth(spark):
     e = [("R", 0, "C1", 0, 14, "subcat"), ("R", 1, "P", 7, 0, "page"), ("C1", 0, "R", 0, 14, "subcat"), ("C1", 1, "C2", 0, 14, "subcat"), ("C1", 2, "P", 7, 0, "page"), ("C2", 0, "Q", 8, 0, "page"), ("C2", 1, "Talk:Z", 9, 1, "page")]
     df = spark.createDataFrame(e, "parent string, seq long, title string, pageid long, ns int, type string")

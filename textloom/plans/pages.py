@@ -66,6 +66,13 @@ def page_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return selection.select_pages(pages, done, shards=["B", "D", "F", "K", "T"], min_words=100, skip_suffix="_Legends", limit=50).select("path", "doc_id")
 
 
+def all_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages to work on in the order of their paths: no shards chosen and no limit, as by default."""
+    pages = _article_pages(spark, sf_dir)
+    done = pages.where(F.col("doc_id") % 5 == 0)
+    return selection.select_pages(pages, done, min_words=100, skip_suffix="_Legends").select("path", "doc_id")
+
+
 def named_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "documents").where("kind = 'article'").select("doc_id", F.concat(F.lit("a/"), F.replace("title", F.lit(" "), F.lit("_")), F.lit(".md")).alias("path"), "text")
     names = ["bitoh zolis", "Nusot Solis", "KOKIN_DUDAR", "lobok ripes", "Tokir Sosul"]
@@ -188,7 +195,7 @@ def banner_bfs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.banner_titles(_edges(spark, sf_dir), "ROOT")
 
 
-_FUNCTIONS = (continuity_tags, tag_distribution, retag, tag_skips, untagged_sample, resume_pending, page_selection, named_pages, random_pages, merge_sources, redirect_filter, title_resolution,
+_FUNCTIONS = (continuity_tags, tag_distribution, retag, tag_skips, untagged_sample, resume_pending, page_selection, all_pages, named_pages, random_pages, merge_sources, redirect_filter, title_resolution,
               top_pages, facts_report, manifest_dedup, first_articles, consecutive_dedup, article_list, category_union, conversion_counters, category_bfs, category_depths, banner_bfs)
 QUERIES = {f.__name__: f for f in _FUNCTIONS}
 
@@ -238,6 +245,10 @@ SQL = {
         SELECT folder || '/' || shard || '/' || file AS path, doc_id FROM {_ARTICLE_PAGES}
         WHERE shard IN ('B', 'D', 'F', 'K', 'T') AND doc_id % 9 <> 0 AND doc_id % 5 <> 0 AND len(regexp_extract_all(text, '{_NWS}+')) >= 100
         ORDER BY folder, shard, file LIMIT 50""",
+    "all_pages": f"""
+        SELECT folder || '/' || shard || '/' || file AS path, doc_id FROM {_ARTICLE_PAGES}
+        WHERE doc_id % 9 <> 0 AND doc_id % 5 <> 0 AND len(regexp_extract_all(text, '{_NWS}+')) >= 100
+        ORDER BY folder, shard, file""",
     "named_pages": """
         SELECT doc_id, 'a/' || replace(title, ' ', '_') || '.md' AS path FROM documents
         WHERE kind = 'article' AND lower(replace(title, ' ', '_')) IN ('bitoh_zolis', 'nusot_solis', 'kokin_dudar', 'lobok_ripes', 'tokir_sosul')""",
