@@ -184,6 +184,18 @@ def test_sketch_counts(spark):
     assert scans.find_defects(df.limit(0)).count() == 0
 
 
+def test_all_readings_are_tried(spark):
+    good, bad = "io" + "hbmd" * 6 + "o", "10" + "hbmd" * 6 + "0"
+    assert scans.Decoder(lambda w: 50 * (w == good)).read(bad) == (good, 0)
+    long, blob = "io" + "hbmd" * 12 + "o", "c1hbmd" * 1000
+    n = scans.count_words(docs(spark, [(1, f"{long} {blob} " * 4, "a", "book")]))
+    assert n(long) == 4 and n.begins(long[:48]) == 4 and n.begins("x" * 16) == 0
+    dec = scans.Decoder(n)
+    assert dec.read("10" + "hbmd" * 12 + "0") == (long, 0)
+    assert dec.read(blob)[0]  # 6,000 letters with 5,000 places to misread do not take for ever
+    assert {v for v, _, _ in scans.variants(long, 2) if n(v) >= scans.LEAST} == {v for v, _, _ in scans.variants(long, 2, n.begins) if n(v) >= scans.LEAST}
+
+
 # --- problem 6
 
 

@@ -23,7 +23,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from difflib import SequenceMatcher
 
 import numpy as np
@@ -33,6 +33,8 @@ from pyspark.sql import DataFrame, functions as F
 
 #: Cells of each of the sketch's two rows: 16 MB as 4-byte counts.
 CELLS = 1 << 21
+#: Of words of LONG letters and more the sketch also counts the beginnings, at every STEP letters.
+LONG, STEP = 32, 16
 #: Characters read instead of others: (read, meant) (fixed values).
 CONFUSIONS = [("!", "i"), ("0", "o"), ("1", "l"), ("1", "i"), ("9", "g"), ("ſ", "s"), ("ﬁ", "fi"), ("ﬂ", "fl"), ("cl", "d"), ("ii", "u"),
               ("rn", "m"), ("vv", "w"), ("c", "e"), ("b", "h"), ("h", "li"), ("|", "l"), ("5", "s"), ("6", "b"), ("li", "h"), ("tl", "d"), ("$", "s"), ("@", "a"), ("m", "rn"), ("d", "cl")]
@@ -88,6 +90,20 @@ class WordCounts:
         h = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
         return h % CELLS, (h >> 32) % CELLS
 
+    @staticmethod
+    def beginnings(word: str) -> Iterator[tuple[int, int]]:
+        """Cells of the beginnings of a long word."""
+        x = xxhash.xxh3_64(b"\x00")
+        for i in range(0, len(word) // STEP * STEP if len(word) >= LONG else 0, STEP):
+            x.update(word[i:i + STEP].encode("utf-8", "surrogatepass"))
+            h = x.intdigest()
+            yield h % CELLS, (h >> 32) % CELLS
+
+    def begins(self, start: str) -> int:
+        """At least as many as there are long words with this start, a multiple of STEP letters."""
+        h = xxhash.xxh3_64_intdigest(b"\x00" + start.encode("utf-8", "surrogatepass"))
+        return min(int(self.a[h % CELLS]), int(self.b[(h >> 32) % CELLS]))
+
     def __call__(self, word: str) -> int:
         n = self.cache.get(word)
         if n is None:
@@ -128,6 +144,10 @@ def count_words(docs: DataFrame, text_col: str = "text") -> WordCounts:
     def emit(total: Counter) -> pd.DataFrame:
         both = [WordCounts.cells(w) for w in total]
         n = list(total.values())
+        for w, k in total.items():
+            if len(w) >= LONG:
+                both += (more := list(WordCounts.beginnings(w)))
+                n += [k] * len(more)
         return pd.DataFrame({"cell": [x for x, _ in both] + [CELLS + y for _, y in both], "n": n + n}, dtype="int64")
 
     src = docs.where(F.col(text_col).isNotNull()).select(text_col)
@@ -137,17 +157,28 @@ def count_words(docs: DataFrame, text_col: str = "text") -> WordCounts:
     return WordCounts(table[:CELLS], table[CELLS:])
 
 
-def variants(word: str, most: int = 2) -> Iterator[tuple[str, int, int]]:
-    """(reading, changes, place of the first change) with up to ``most`` confusions put right."""
+def variants(word: str, most: int = 2, begins: Callable[[str], int] | None = None) -> Iterator[tuple[str, int, int]]:
+    """(reading, changes, place of the first change) with up to ``most`` confusions put right.
+
+    Of long words, readings are left out whose beginning fewer than LEAST words
+    have by ``begins``: none of those is a word of the model.
+    """
     frontier = [(word, 0, 0, -1)]
     seen = {word}
+    if len(word) - most < LONG:
+        begins = None
     while frontier:
         w, start, n, place = frontier.pop()
+        known = 0
         for i in range(start, len(w)):
+            if begins and (whole := i // STEP * STEP) > known:
+                if begins(w[:whole]) < LEAST:
+                    break
+                known = whole
             for read, meant in _by_first.get(w[i], ()):
                 if w.startswith(read, i):
                     v = w[:i] + meant + w[i + len(read):]
-                    if v not in seen and len(seen) < 400:
+                    if v not in seen:
                         seen.add(v)
                         where = i if place < 0 else place
                         yield v, n + 1, where
@@ -182,7 +213,7 @@ class Decoder:
         here = self.counts(low)
         mixed = bool(_foreign.search(low)) and bool(re.search(r"[a-zà-ÿ]", word)) and not re.fullmatch(r"[A-Za-z]{1,3}[-‐]?\d+|\d+[a-z]{1,3}", word)
         best, place, score = word, -1, math.log(here + 0.1)
-        for v, n, where in variants(low, 3 if mixed else 2):
+        for v, n, where in variants(low, 3 if mixed else 2, getattr(self.counts, "begins", None)):
             c = self.counts(v)
             if c >= LEAST and (mixed or c >= RATIO * max(0, here - 1) and c > here) and (s := math.log(c) - 3.0 * (n - 1)) > (score if not mixed or place >= 0 else -99.0):
                 best, place, score = v, where, s
