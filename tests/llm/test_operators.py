@@ -196,6 +196,15 @@ def test_all_readings_are_tried(spark):
     assert {v for v, _, _ in scans.variants(long, 2) if n(v) >= scans.LEAST} == {v for v, _, _ in scans.variants(long, 2, n.begins) if n(v) >= scans.LEAST}
 
 
+def test_parted_words_are_merged(spark):
+    page = "the old settle ment of the\nhouse, the lan\ntern and the war\nden's house\nstood a part from an other \u201cwitn esses.\u201d"
+    known = "the settlement of a lantern stood apart from another house and an other old part a a warden witnesses " * 40
+    df = docs(spark, [(1, page, "a", "book"), (2, known, "a", "article")])
+    want = "the old settlement of the house, the lantern and the warden's house stood a part from an other \u201cwitnesses.\u201d"
+    assert [r.text for r in scans.repair(df).collect()] == [want]
+    assert scans.find_defects(df).count() == 0
+
+
 # --- problem 6
 
 

@@ -1,15 +1,13 @@
 """Repair of text from scanned pages (problem 5).
 
 A word model of the corpus (a count-min sketch of fixed size over the words of
-all documents) drives one decoder. Furniture lines (running headers and
-footers, page numbers, stamps) are taken out; the rest is read as one character
-stream without its line breaks. A Viterbi search over the stream's words chooses for
-each stretch between blanks the cheapest reading: the word as it stands, the
-word with confused characters put right, a word merged with its neighbour across
-a line break (with or without the sign at the cut), or a stretch split in two. Words
-are independent under the model, so the best path takes each stretch's best
-reading, and readings are remembered.
-Paragraph boundaries are then chosen by dynamic programming over the lines.
+all documents) drives the decoding. Furniture lines (running headers and footers,
+page numbers, stamps) are taken out. Each stretch between blanks then gets its
+best reading on its own: the word as it stands, with confused characters put
+right, joined across a line break that carries a cut sign, or split in two.
+Paragraph boundaries are then chosen by dynamic programming over the lines, and
+a Viterbi search over each paragraph merges the pieces of words that a stray
+blank or a line break without a sign has parted; these are no defects of a line.
 
 Scale: two narrow passes over the documents. Between them only the sketch's
 cells are shuffled and collected, at most ``2 * CELLS`` however large the corpus.
@@ -83,6 +81,7 @@ class WordCounts:
 
     def __init__(self, a: np.ndarray, b: np.ndarray):
         self.a, self.b = a, b
+        self.total = int(a.sum(dtype=np.uint64))
         self.cache: dict[str, int] = {}
 
     @staticmethod
@@ -337,8 +336,49 @@ def defects(text: str, title: str | None, dec: Decoder) -> tuple[list[tuple[int,
     return sorted(set(found)), out
 
 
-def paragraphs(lines: list[str | None]) -> str:
-    """Continuous paragraphs; boundaries between lines are chosen by dynamic programming."""
+#: Log odds of a stray blank inside a word, and of how many pieces one word is made at most.
+STRAY, PIECES = math.log(1e-5), 3
+_joins = re.compile(r"[^\W\d_]+")
+
+
+def decode(paragraph: str, dec: Decoder) -> str:
+    """The likeliest words of a paragraph: pieces that a blank or an unsigned line break parts are merged.
+
+    A Viterbi search over the words between blanks. An arc takes one word as it
+    stands or up to PIECES neighbours, with nothing but letters where they meet,
+    as one known word; each costs the word's log share of the corpus, a merged one
+    STRAY for every blank besides. A word in its place does not count for itself.
+    """
+    total = getattr(dec.counts, "total", 0)
+    tokens = paragraph.split(" ")
+    if not total or len(tokens) < 2:
+        return paragraph
+    bare = [(w.split("'")[0].split("’")[0], off) for w, off in map(_bare, tokens)]  # the model counts what stands before an apostrophe
+    best, back = [0.0], [0]
+    for j in range(1, len(tokens) + 1):
+        word, _ = bare[j - 1]
+        score, start = best[j - 1] + math.log((max(0, dec.counts(word) - 1) + 0.1) / total), j - 1
+        for i in range(j - 2, max(-1, j - 1 - PIECES), -1):
+            # letters alone where pieces meet: only the first may open and only the last may close with other signs
+            if not _joins.fullmatch(bare[i][0]) or not tokens[i].endswith(bare[i][0]) or bare[i + 1][1] or not tokens[i + 1][0].islower():
+                break
+            if not _joins.fullmatch(word):
+                break
+            whole = "".join(w for w, _ in bare[i:j])
+            n = dec.counts(whole)
+            if n >= LEAST and (s := best[i] + math.log(n / total) + STRAY * (j - 1 - i)) > score:
+                score, start = s, i
+        best.append(score)
+        back.append(start)
+    out, j = [], len(tokens)
+    while j:
+        out.append("".join(tokens[back[j]:j]))
+        j = back[j]
+    return " ".join(reversed(out))
+
+
+def paragraphs(lines: list[str | None], dec: Decoder | None = None) -> str:
+    """Continuous paragraphs; boundaries between lines are chosen by dynamic programming, then each paragraph is decoded."""
     rows: list[tuple[str, bool, bool]] = []  # text, blank line before, indented
     blank = False
     for x in lines:
@@ -380,7 +420,7 @@ def paragraphs(lines: list[str | None]) -> str:
             out.append(s)
         else:
             out[-1] += " " + s
-    return "\n\n".join(out)
+    return "\n\n".join(decode(x, dec) if dec else x for x in out)
 
 
 def _scan(docs: DataFrame, counts: WordCounts, kinds: tuple[str, ...], emit, schema: str) -> DataFrame:
@@ -389,7 +429,7 @@ def _scan(docs: DataFrame, counts: WordCounts, kinds: tuple[str, ...], emit, sch
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         dec = Decoder(WordCounts(*shared.value))
         for b in batches:
-            rows = [r for doc, title, text in b.itertuples(index=False) for r in emit(doc, *defects(text or "", title, dec))]
+            rows = [r for doc, title, text in b.itertuples(index=False) for r in emit(doc, *defects(text or "", title, dec), dec)]
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")])
 
     return docs.where(F.col("kind").isin(*kinds)).select("doc_id", "title", "text").mapInPandas(run, schema)
@@ -397,10 +437,10 @@ def _scan(docs: DataFrame, counts: WordCounts, kinds: tuple[str, ...], emit, sch
 
 def find_defects(docs: DataFrame, kinds: tuple[str, ...] = ("book",)) -> DataFrame:
     """(doc_id, line_no, defect) of every defective line."""
-    rows = _scan(docs, count_words(docs), kinds, lambda doc, found, out: [(doc, n, d) for n, d in found], "doc_id long, line_no int, defect string")
+    rows = _scan(docs, count_words(docs), kinds, lambda doc, found, out, dec: [(doc, n, d) for n, d in found], "doc_id long, line_no int, defect string")
     return rows.distinct()
 
 
 def repair(docs: DataFrame, kinds: tuple[str, ...] = ("book",)) -> DataFrame:
     """(doc_id, text) in continuous paragraphs."""
-    return _scan(docs, count_words(docs), kinds, lambda doc, found, out: [(doc, paragraphs(out))], "doc_id long, text string")
+    return _scan(docs, count_words(docs), kinds, lambda doc, found, out, dec: [(doc, paragraphs(out, dec))], "doc_id long, text string")
