@@ -205,6 +205,20 @@ def test_parted_words_are_merged(spark):
     assert scans.find_defects(df).count() == 0
 
 
+def test_bars_are_shares_of_the_corpus():
+    class Counts(dict):
+        def __call__(self, word):
+            return self.get(word, 0)
+
+    for size in (1, 10, 100):
+        n = Counts({"house": 900 * size, "lantern": 1100 * size, "settlement": 1200 * size, "half": 60 * size, "moon": 40 * size, "star": 70 * size})
+        n.total = scans.SIZE * size
+        dec = scans.Decoder(n)
+        assert dec.split("lanternsettlement") == ("lantern", "settlement") and dec.split("houselantern") is None
+        assert not scans.joined_word(dec, "half", "star", "-") and scans.joined_word(dec, "half", "moon", "-")
+    assert scans.Decoder(decoder().counts).bar(50) == 50
+
+
 # --- problem 6
 
 

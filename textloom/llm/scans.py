@@ -187,6 +187,8 @@ def variants(word: str, most: int = 2, begins: Callable[[str], int] | None = Non
 
 #: Counts that a reading needs, and by how much it must be more frequent than the word as it stands.
 LEAST, RATIO = 3, 20
+#: Words of the corpus that the other bars are stated for; they grow with the corpus, so that they are shares of it.
+SIZE = 2_700_000
 
 
 class Decoder:
@@ -196,6 +198,10 @@ class Decoder:
         self.counts = counts
         self.known: dict[str, tuple[str, int]] = {}
 
+    def bar(self, count: int) -> float:
+        """A count stated for SIZE words, for the corpus at hand."""
+        return count * (getattr(self.counts, "total", 0) or SIZE) / SIZE
+
     def read(self, word: str) -> tuple[str, int]:
         """(reading, place of the first confusion or -1) of one word, without its outer punctuation."""
         got = self.known.get(word)
@@ -228,10 +234,10 @@ class Decoder:
     def split(self, word: str) -> tuple[str, str] | None:
         """Two words run together, if the parts are far more frequent than the whole."""
         low = word
-        if len(low) < 6 or self.counts(low) > 1 or not low.isalpha():
+        if len(low) < 6 or self.counts(low) > max(1, self.bar(1)) or not low.isalpha():
             return None
         best = max(((min(self.counts(low[:i]), self.counts(low[i:])), i) for i in range(2, len(low) - 1)), default=(0, 0))
-        return (word[:best[1]], word[best[1]:]) if best[0] >= 1000 else None
+        return (word[:best[1]], word[best[1]:]) if best[0] >= max(LEAST, self.bar(1000)) else None
 
 
 _outer = "\"'“”‘’„«»()[]{},;:?…"
@@ -263,7 +269,7 @@ def joined_word(dec: Decoder, head: str, tail: str, sign: str) -> bool:
         return True
     # neither form is known: a compound needs two frequent words of some length
     a, b = dec.counts(head), dec.counts(tail)
-    return not (min(a, b) >= 50 and min(len(head), len(tail)) >= 3 and tail[:1].islower())
+    return not (min(a, b) >= max(LEAST, dec.bar(50)) and min(len(head), len(tail)) >= 3 and tail[:1].islower())
 
 
 def defects(text: str, title: str | None, dec: Decoder) -> tuple[list[tuple[int, str]], list[str | None]]:
@@ -318,7 +324,7 @@ def defects(text: str, title: str | None, dec: Decoder) -> tuple[list[tuple[int,
                         found.append((nxt + 1, "misread"))
             word, off = _bare(token)
             fixed, place = dec.read(word) if word else (word, -1)
-            if place < 0 and _joint.search(word) and not dec.counts(word) > 2:
+            if place < 0 and _joint.search(word) and not dec.counts(word) > max(2, dec.bar(2)):
                 parts = [dec.read(x) for x in _joint.split(word)]
                 if any(p >= 0 for _, p in parts):
                     fixed, place = "".join(x for x, _ in parts), 0
