@@ -1,11 +1,11 @@
 """Lines that a source repeats in many of its documents (problem 2).
 
 Lines are normalised (lower case, one mark per run of digits, white space
-folded) and reduced to a 128-bit key. The documents of each line are kept per
-source as compressed bitmaps in blocks of 65,536 document ids: first one per
-raw variant of the line, then the union of the variants. Exact cardinalities
-are thresholded, and lines are deleted by looking their document up in the
-bitmaps of the repeated lines.
+folded) and reduced to a 128-bit key. The distinct documents of each line are
+counted per source in blocks of 65,536 document ids and the exact counts are
+thresholded. Of the repeated lines alone the documents are packed as compressed
+bitmaps, first one per raw variant of the line, then the union of the variants.
+Lines are deleted by a join with the (document, line) rows the bitmaps unpack to.
 
 Scale: one row per line is shuffled once, on (source, line, block), so no task
 holds more than one block of one line even where a source has a third of all
@@ -114,7 +114,7 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def deletions(blocks: DataFrame) -> DataFrame:
-    """Bitmap lookup table of the lines to delete: doc, k1, k2."""
+    """The lines to delete, unpacked from the bitmaps: doc, k1, k2."""
     low = blocks.select("k1", "k2", "block", F.explode(_unpack("bits")).alias("low"))
     return low.select((F.shiftleft("block", bitmaps.BLOCK_BITS) + F.col("low")).alias("doc"), "k1", "k2")
 
