@@ -109,6 +109,25 @@ def test_repeated_lines(spark):
     assert sitelines.find_repeated(df.limit(0)).count() == 0
 
 
+def test_lines_of_a_document_in_two_sources(spark):
+    a, b = "This line stands in every page of source a", "That one is the mark of the other source b"
+    rows = [(i, f"{a}\nown {chr(97 + i) * 30}", "a", "article") for i in range(4)] + [(10 + i, f"{b}\nown {chr(107 + i) * 30}", "b", "article") for i in range(4)]
+    rows += [(70_000, f"{a}\n{b}", "a", "article"), (70_000, f"{b}\nword\n{a}", "b", "article")]
+    df = docs(spark, rows)
+    got = {(r.src, r.doc, r.line_no) for r in sitelines.deletions(df).collect()}
+    assert got == {("a", i, 1) for i in range(4)} | {("b", 10 + i, 1) for i in range(4)} | {("a", 70_000, 1), ("b", 70_000, 1)}
+    assert {(r.source, r.clean_text) for r in sitelines.remove_repeated(df).where("doc_id = 70000").collect()} == {("a", b), ("b", f"word\n{a}")}
+
+
+def test_union_decides(spark):
+    """Variants of one line in one block: five documents, though the parts' cardinalities add up to more."""
+    rows = [(i % 5, f"Printed from the archive on day {i} of the year", "a", "article") for i in range(40)] + [(100 + i, f"{chr(97 + i % 26) * 25}{'x' * (i // 26)}", "a", "article") for i in range(116)]
+    df = docs(spark, rows)
+    parts = sitelines.line_bitmaps(df, "doc_id", "text", "source")
+    assert parts.where("n > 0 and size(lows) = 1").groupBy("k1", "k2").sum("n").where("`sum(n)` = 40").count() == 1
+    assert sitelines.find_repeated(df).count() == 0 and sitelines.find_repeated(df, min_share=0.04).count() == 5
+
+
 # --- problem 4
 
 

@@ -9,11 +9,14 @@ from __future__ import annotations
 import numpy as np
 
 BLOCK_BITS = 16
+MASK = (1 << BLOCK_BITS) - 1
 _DENSE = 4096
 
 
 def pack(low: np.ndarray) -> bytes:
     """A block from low bits in any order, repeats allowed."""
+    if len(low) == 1:
+        return b"a" + int(low[0]).to_bytes(2, "little")
     low = np.unique(np.asarray(low, dtype=np.int64)).astype("<u2")
     if len(low) <= _DENSE:
         return b"a" + low.tobytes()
@@ -39,6 +42,8 @@ def cardinality(block: bytes) -> int:
 
 def contains(block: bytes, low: np.ndarray) -> np.ndarray:
     """For each low value whether its bit is set."""
+    if block[:1] == b"a":
+        return np.isin(low, np.frombuffer(block, dtype="<u2", offset=1))
     bits = np.zeros(1 << BLOCK_BITS, dtype=bool)
     bits[unpack(block)] = True
     return bits[np.asarray(low, dtype=np.int64)]

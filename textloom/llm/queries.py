@@ -101,6 +101,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 #: Python's white space as a class for the SQL engine's regular expressions.
 _WS = r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
 
+_REPEATED = rf"""
+        WITH lines AS (
+          SELECT doc_id, source, CAST(unnest(range(1, len(l) + 1)) AS INTEGER) AS line_no, unnest(l) AS raw
+          FROM (SELECT doc_id, source, string_split(text, chr(10)) AS l FROM documents WHERE source IS NOT NULL AND text IS NOT NULL)),
+        norm AS (
+          SELECT doc_id, source, line_no,
+                 trim(regexp_replace(regexp_replace(lower(raw), '[0-9]+', '0', 'g'), '{_WS}', ' ', 'g')) AS line
+          FROM lines),
+        long AS (SELECT * FROM norm WHERE length(regexp_replace(line, '[^\p{{L}}]+', '', 'g')) >= 20),
+        size AS (SELECT source, count(*) AS n FROM documents WHERE source IS NOT NULL GROUP BY source),
+        hit AS (SELECT source, line FROM long JOIN size USING (source) GROUP BY source, line, n
+                HAVING count(DISTINCT doc_id) >= 3 AND count(DISTINCT doc_id) >= 0.05 * n)"""
+
 SQL: dict[str, str] = {
     "p1_found": r"""
         WITH f AS (SELECT set_id, unnest(facts) AS fact FROM fact_sets),
@@ -119,17 +132,11 @@ SQL: dict[str, str] = {
         dw AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents WHERE text IS NOT NULL),
         dg AS (SELECT doc_id, unnest(list_transform(range(1, len(w) - 10), lambda i: list_aggregate(w[i:i + 11], 'string_agg', ' '))) AS g FROM dw WHERE len(w) >= 12)
         SELECT DISTINCT doc_id, item_id FROM dg JOIN ig USING (g)""",
-    "p2_found": rf"""
-        WITH lines AS (
-          SELECT doc_id, source, CAST(unnest(range(1, len(l) + 1)) AS INTEGER) AS line_no, unnest(l) AS raw
-          FROM (SELECT doc_id, source, string_split(text, chr(10)) AS l FROM documents WHERE source IS NOT NULL AND text IS NOT NULL)),
-        norm AS (
-          SELECT doc_id, source, line_no,
-                 trim(regexp_replace(regexp_replace(lower(raw), '[0-9]+', '0', 'g'), '{_WS}', ' ', 'g')) AS line
-          FROM lines),
-        long AS (SELECT * FROM norm WHERE length(regexp_replace(line, '[^\p{{L}}]+', '', 'g')) >= 20),
-        size AS (SELECT source, count(*) AS n FROM documents WHERE source IS NOT NULL GROUP BY source),
-        hit AS (SELECT source, line FROM long JOIN size USING (source) GROUP BY source, line, n
-                HAVING count(DISTINCT doc_id) >= 3 AND count(DISTINCT doc_id) >= 0.05 * n)
+    "p2_found": rf"""{_REPEATED}
         SELECT doc_id, line_no FROM long JOIN hit USING (source, line)""",
+    "p2_clean": rf"""{_REPEATED},
+        gone AS (SELECT doc_id, line_no FROM long JOIN hit USING (source, line)),
+        every AS (SELECT doc_id, unnest(range(1, len(l) + 1)) AS line_no, unnest(l) AS raw FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL)),
+        kept AS (SELECT doc_id, string_agg(CASE WHEN g.line_no IS NULL THEN raw END, chr(10) ORDER BY line_no) AS t FROM every LEFT JOIN gone g USING (doc_id, line_no) GROUP BY doc_id)
+        SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(k.t, '') END AS clean_text FROM documents d LEFT JOIN kept k USING (doc_id)""",
 }
