@@ -139,16 +139,20 @@ def deletions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            src, block, bits, lows, nos = (b.column(k) for k in ("src", "block", "bits", "lows", "line_nos"))
-            at, doc, line = [], [], []
-            for i, (base, bitmap) in enumerate(zip(block.to_pylist(), bits.to_pylist())):
-                low, no = (np.asarray(x[i].values) for x in (lows, nos))
-                hit = bitmaps.contains(bitmap, low)
-                at.append(np.full(hit.sum(), i))
-                doc.append((base << bitmaps.BLOCK_BITS) + low[hit])
-                line.append(no[hit])
-            if at:
-                yield pa.RecordBatch.from_arrays([src.take(pa.array(np.concatenate(at))), pa.array(np.concatenate(doc), pa.int64()), pa.array(np.concatenate(line), pa.int32())], ["src", "doc", "line_no"])
+            lists = b.column(3)
+            at = np.repeat(np.arange(b.num_rows), np.diff(lists.offsets.to_numpy()))
+            low, no = lists.flatten().to_numpy(), b.column(4).flatten().to_numpy()
+            number: dict[bytes, int] = {}
+            which = np.array([number.setdefault(x, len(number)) for x in b.column(2).to_pylist()], dtype=np.int64)[at]
+            order = np.argsort(which, kind="stable")
+            ends = np.searchsorted(which[order], np.arange(len(number) + 1))
+            hit = np.zeros(len(at), dtype=bool)
+            for bitmap, k in number.items():
+                those = order[ends[k]:ends[k + 1]]
+                hit[those] = bitmaps.contains(bitmap, low[those])
+            at = at[hit]
+            doc = (b.column(1).to_numpy()[at] << bitmaps.BLOCK_BITS) + low[hit]
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at)), pa.array(doc, pa.int64()), pa.array(no[hit], pa.int32())], ["src", "doc", "line_no"])
 
     places = parts.select(*LINE, "block", "lows", "line_nos").join(blocks, [*LINE, "block"])
     return places.select("src", "block", "bits", "lows", "line_nos").mapInArrow(look_up, "src string, doc long, line_no int")
