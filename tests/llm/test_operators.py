@@ -300,23 +300,39 @@ def test_block_tables(spark):
 # --- problem 7
 
 
-def test_budget_deltas(spark):
-    records = spark.createDataFrame([("s1", "Site A", "ENG", "Wiki article", 5, None, 1), ("s1", "site_a", "en-GB", "article", None, None, 2), ("s2", None, None, None, 3, None, 3), ("zz", "q", "en", "tv", 1, None, 4), ("s3", "b", "fra", "film", 0, None, 5)],
-                                    "slug string, source string, lang string, kind string, char_count long, recorded_at timestamp, record_id long")
+RECORDS = [("s1", "Site A", "ENG", "Wiki article", 5, None, 1), ("s1", "site_a", "en-GB", "article", None, None, 2), ("s2", None, None, None, 3, None, 3), ("zz", "q", "en", "tv", 1, None, 4), ("s3", "b", "fra", "film", 0, None, 5)]
+
+
+def test_budget_deltas(spark, tmp_path):
+    records = spark.createDataFrame(RECORDS, "slug string, source string, lang string, kind string, char_count long, recorded_at timestamp, record_id long")
     old = docs(spark, [(1, "hello", "site-a", "article"), (2, "hé!", "b", "tv"), (3, None, "b", "movie")])
-    state, counts = budget.update_counts(old)
-    assert sorted(r.record_id for r in budget.audit(records, state, counts).collect()) == [2, 4]
-    ledger = budget.ledger(old, records, state, counts)
-    cube = budget.cube(ledger)
+    kept = budget.Budget(spark, f"file://{tmp_path}/budget")
+    assert kept.cube() is None
+    assert sorted(r.record_id for r in kept.audit(old, records).collect()) == [2, 4]
+    assert kept.counts().count() == 3  # characters alone
+    cube = kept.update(old, records)
     assert {(r.source, r.lang, r.kind): (r.documents, r.chars) for r in cube.collect()} == {("site-a", "en", "article"): (1, 5), ("b", "en", "tv"): (1, 3), ("b", "fr", "movie"): (1, 0)}
+    before = kept.counts().count()
     new = docs(spark, [(1, "hello world", "site-a", "article"), (3, None, "b", "movie"), (4, "hello", "c", "tv")])
-    state2, counts2 = budget.update_counts(new, counts)
-    assert counts2.count() == counts.count() + 1
-    ledger2 = budget.ledger(new, records, state2, counts2)
-    moved = budget.apply_deltas(cube, budget.deltas(ledger, ledger2))
     rows = lambda d: sorted(map(tuple, d.collect()))
-    assert rows(moved) == rows(budget.cube(ledger2))
-    assert budget.cube(ledger.limit(0)).count() == 0
+    moved = rows(kept.update(new, records))
+    assert kept.counts().count() == before + 2  # one new text under two tokenizers
+    assert moved == rows(budget.Budget(spark).update(new, records))
+    assert kept.update(new.limit(0), records).count() == 0 and kept.counts().count() == before + 2
+
+
+def test_only_unseen_contents_are_counted(spark):
+    """The bitmap holds the unseen contents and no other; a second tokenizer does not double the ledger."""
+    old, new = docs(spark, [(i, f"text {i}", "a", "tv") for i in range(200)]), docs(spark, [(i, f"text {i + 100}", "a", "tv") for i in range(200)])
+    _, known = budget.update_counts(old, None, (budget.CHARACTERS, bpe.tokenizer_path()))
+    state, fresh = budget.update_counts(new, known, (budget.CHARACTERS,))
+    assert fresh.count() == 100 and state.count() == 200
+    unseen = state.join(known.where(known.tok == budget.tokenizer_hash("")), ["h1", "h2"], "left_anti")
+    bits = np.unpackbits(budget._bitmap(unseen), bitorder="little")
+    assert sorted(np.flatnonzero(bits)) == sorted({r.h1 & budget.BITS - 1 for r in unseen.collect()})
+    records = spark.createDataFrame([(f"s{i}", 6 + (i > 9) + (i > 99), i) for i in range(200)], "slug string, char_count long, record_id long")
+    assert budget.audit(records, content := budget.content_state(old), known).count() == 0 and content.count() == 200
+    assert budget.audit(records.limit(0), content, known).count() == 0
 
 
 # --- problem 8

@@ -53,14 +53,22 @@ def p6_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    state, counts = budget.update_counts(table(spark, sf_dir, "documents"))
-    return budget.audit(table(spark, sf_dir, "corpus_records"), state, counts)
+    return budget.Budget(spark).audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "corpus_records"))
 
 
 def p7_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return budget.Budget(spark).update(table(spark, sf_dir, "documents"), table(spark, sf_dir, "corpus_records"))
+
+
+def p7_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and characters per slice after a second run: a seventh of the documents is new in it, a fifth of the texts has changed, an eleventh went."""
     docs, records = table(spark, sf_dir, "documents"), table(spark, sf_dir, "corpus_records")
-    state, counts = budget.update_counts(docs)
-    return budget.cube(budget.ledger(docs, records, state, counts))
+    text = F.when(F.col("doc_id") % 5 == 0, F.concat(F.lit("old "), F.col("text"))).otherwise(F.col("text"))
+    before = docs.where("doc_id % 7 <> 0").withColumn("text", text)
+    gone = docs.where("doc_id % 11 = 0").withColumn("slug", F.concat(F.lit("gone-"), F.col("slug")))
+    kept = budget.Budget(spark)
+    kept.update(before.unionByName(gone), records)
+    return kept.update(docs, records).select("source", "lang", "kind", "documents", "chars")
 
 
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p6_clean": p6_clean,
     "p7_found": p7_found,
     "p7_budget": p7_budget,
+    "p7_update": p7_update,
     "p8_ids": p8_ids,
     "p9_found": p9_found,
     "p10_found": p10_found,
@@ -114,6 +123,14 @@ _REPEATED = rf"""
         hit AS (SELECT source, line FROM long JOIN size USING (source) GROUP BY source, line, n
                 HAVING count(DISTINCT doc_id) >= 3 AND count(DISTINCT doc_id) >= 0.05 * n)"""
 
+
+
+def _spelt_sql(column: str, names: dict[str, list[str]]) -> str:
+    v = f"lower(trim({column}))"
+    cases = "".join(f" WHEN {v} IN ({', '.join(repr(x) for x in [right, *others])}) OR starts_with({v}, '{right}-') THEN '{right}'" for right, others in names.items())
+    return f"CASE{cases} ELSE {v} END"
+
+
 SQL: dict[str, str] = {
     "p1_found": r"""
         WITH f AS (SELECT set_id, unnest(facts) AS fact FROM fact_sets),
@@ -125,6 +142,14 @@ SQL: dict[str, str] = {
     "p7_found": """
         SELECT r.record_id FROM corpus_records r LEFT JOIN documents d ON r.slug = d.slug
         WHERE r.char_count IS NULL OR d.slug IS NULL OR r.char_count <> coalesce(length(d.text), 0)""",
+    "p7_update": rf"""
+        WITH last AS (SELECT slug, source, lang, kind FROM corpus_records WHERE slug IS NOT NULL
+                      QUALIFY row_number() OVER (PARTITION BY slug ORDER BY recorded_at DESC NULLS LAST, record_id DESC) = 1),
+        s AS (SELECT coalesce(regexp_replace(lower(trim(l.source)), '[ _]+', '-', 'g'), regexp_replace(lower(trim(d.source)), '[ _]+', '-', 'g'), '(none)') AS source,
+                     coalesce({_spelt_sql("l.lang", budget.LANGUAGES)}, {_spelt_sql("d.lang", budget.LANGUAGES)}, '(none)') AS lang,
+                     coalesce({_spelt_sql("l.kind", budget.KINDS)}, {_spelt_sql("d.kind", budget.KINDS)}, '(none)') AS kind, coalesce(length(d.text), 0) AS n
+              FROM documents d LEFT JOIN last l USING (slug))
+        SELECT source, lang, kind, count(*) AS documents, CAST(sum(n) AS BIGINT) AS chars FROM s GROUP BY ALL""",
     "p9_found": r"""
         WITH t AS (SELECT item_id, passage AS x FROM eval_items UNION ALL SELECT item_id, question FROM eval_items),
         iw AS (SELECT item_id, regexp_extract_all(lower(x), '[\p{L}\p{N}]+') AS w FROM t WHERE x IS NOT NULL),
