@@ -388,14 +388,50 @@ def test_leaks_match_brute_force(spark):
 
 def test_hamming_blocks_miss_nothing():
     rng = np.random.default_rng(6)
-    h = rng.integers(0, 1 << 63, 400, dtype=np.uint64)
-    index = leaks.ItemIndex([(7, h)], radius=2)
-    near = index.prints.copy()
-    for k in range(len(near)):
-        for b in rng.choice(64, 2, replace=False):
-            near[k] ^= np.uint64(1) << np.uint64(b)
-    d, i = index.candidates(near)
-    assert {(k, k) for k in range(len(near))} <= set(zip(d.tolist(), i.tolist()))
+    for radius in (0, 1, 2, 3):
+        prints = leaks.simhash(rng.integers(0, 1 << 63, 400, dtype=np.uint64), 12)
+        near = prints.copy()
+        for k in range(len(near)):
+            for b in rng.choice(64, radius, replace=False):
+                near[k] ^= np.uint64(1) << np.uint64(b)
+        assert (leaks.values(prints, radius) == leaks.values(near, radius)).any(axis=0).all()
+
+
+def test_near_items_match_brute_force(spark):
+    """Whole items with changed words: all pairs of windows within the radius and the similarity, and no others."""
+    rng = random.Random(8)
+    vocab = [f"w{i}" for i in range(400)]
+    items = [(i, " ".join(rng.choice(vocab) for _ in range(n)), None) for i, n in enumerate([12, 20, 33, 50, 70, 140, 11, 300])]
+    rows = []
+    for i in range(60):
+        w = words(items[i % 8][1])
+        for _ in range(i // 8):
+            w[rng.randrange(len(w))] = "new"
+        lead = [rng.choice(vocab) for _ in range(rng.randrange(30))]
+        rows.append((i, " ".join([*lead, *w, "end"]), "a", "article"))
+    it = spark.createDataFrame(items, "item_id long, passage string, question string")
+    got = {(r.doc_id, r.item_id): r.similarity for r in leaks.find_near(docs(spark, rows), it, radius=6).collect()}
+    h, texts = WordHashes(), [words(p) for _, p, _ in items if len(words(p)) >= 12]
+    df = {w: sum(w in t for t in texts) for t in texts for w in t}
+    want: dict = {}
+    for i, t, *_ in rows:
+        d = words(t)
+        for j, p, _ in items:
+            p = words(p)
+            size = max((s for s in leaks.SIZES if s <= len(p)), default=0)
+            for x in range(len(p) - size + 1 if size else 0):
+                weigh = {}
+                for k in range(x, x + size - 4):
+                    weigh[k] = (tuple(p[k:k + 5]), sum(np.log1p(len(texts) / df[w]) for w in p[k:k + 5]))
+                fp = leaks.simhash(h.array(p[x:x + size]), size)[0]
+                for y in range(len(d) - size + 1):
+                    if np.bitwise_count(leaks.simhash(h.array(d[y:y + size]), size)[0] ^ fp) <= 6:
+                        have = {tuple(d[k:k + 5]) for k in range(y, y + size - 4)}
+                        s = sum(v for g, v in weigh.values() if g in have) / sum(v for _, v in weigh.values())
+                        if s >= 0.8:
+                            want[i, j] = max(want.get((i, j), 0), s)
+    assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-3 for k in want)
+    assert any(0.8 <= v < 0.99 for v in got.values()) and any(v > 0.9999 for v in got.values())
 
 
 # --- problem 10

@@ -79,6 +79,12 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
 
 
+def p9_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage or question nearly whole."""
+    found = leaks.find_near(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+    return found.select("doc_id", "item_id", F.round("similarity", 4).alias("similarity"))
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mojibake.find_garbled(table(spark, sf_dir, "documents"))
 
@@ -103,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p7_update": p7_update,
     "p8_ids": p8_ids,
     "p9_found": p9_found,
+    "p9_near": p9_near,
     "p10_found": p10_found,
     "p10_restored": p10_restored,
 }
