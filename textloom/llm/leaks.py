@@ -4,7 +4,7 @@ Passages and questions are cut into windows of words, and so is every document.
 A window's size is the smallest part that counts as a leak (``sizes=(12,)``), or
 the size of the item itself, taken from the ladder SIZES (``sizes=SIZES``: whole
 items, of which some words may have changed). Each window gets a 64-bit SimHash of
-its words. Fingerprints are indexed by ``radius + 1`` blocks of bits: two within
+its pairs of neighbouring words (single words are too common to tell windows apart). Fingerprints are indexed by ``radius + 1`` blocks of bits: two within
 ``radius`` bits of each other agree in one block at least, so an equi join over
 the blocks misses none of them. Candidates are verified by the exact weighted
 similarity of their shingles of SHINGLE words: the share of the item window's
@@ -45,17 +45,17 @@ _BYTES = 4096  # of one bucket of the engine's bitmap functions
 
 
 def simhash(hashes: np.ndarray, size: int) -> np.ndarray:
-    """SimHash of each window of ``size`` words; window i starts at word i."""
-    n = len(hashes) - size + 1
-    if n <= 0:
+    """SimHash of each window of ``size`` words (two or more) by its pairs of neighbouring words; window i starts at word i."""
+    if len(hashes) < size:
         return np.zeros(0, dtype=np.uint64)
+    pairs = shingles(hashes[None, :], 2)[0]
     # sums wrap around, their differences of at most ``size`` do not
     small = np.int8 if size <= 127 else np.int16
-    bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1)
-    run = np.zeros((len(hashes) + 1, 64), dtype=small)
+    bits = np.unpackbits(pairs.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1)
+    run = np.zeros((len(pairs) + 1, 64), dtype=small)
     np.cumsum(bits.view(np.int8), axis=0, dtype=small, out=run[1:])
-    ones = run[size:] - run[:-size]
-    return np.packbits(ones > size // 2, axis=1).view("<u8").ravel().astype(np.uint64)
+    ones = run[size - 1:] - run[:len(pairs) - size + 2]
+    return np.packbits(ones > (size - 1) // 2, axis=1).view("<u8").ravel().astype(np.uint64)
 
 
 def values(prints: np.ndarray, radius: int) -> np.ndarray:
