@@ -75,13 +75,17 @@ def finished_runs(spark: SparkSession, path: str) -> list[int]:
     return sorted(int(p.getName().partition("=")[2]) for p in done if p.getName().startswith("run="))
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Cut lineage: write ``df`` as a table in the shared folder and read it back."""
-    path = shared_dir(df.sparkSession, name)
+def written(df: DataFrame, path: str) -> DataFrame:
+    """``df``, written as a table to ``path`` and read back."""
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Cut lineage: write ``df`` as a table in the shared folder and read it back."""
+    return written(df, shared_dir(df.sparkSession, name))
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner drop shuffle files of finished steps that nothing refers to."""
     gc.collect()
