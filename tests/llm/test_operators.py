@@ -6,7 +6,7 @@ import re
 import numpy as np
 import pytest
 
-from textloom.llm import bitmaps, blocklabel, bpe, budget, leaks, mojibake, nearsets, queries, scans, sitelines, turns
+from textloom.llm import bitmaps, bits, blocklabel, bpe, budget, leaks, mojibake, nearsets, queries, scans, sitelines, turns
 from textloom.llm.markup_rules import LABELS, leaves, teach
 from textloom.llm.words import WordHashes, words
 
@@ -57,6 +57,15 @@ def test_similar_pairs_match_brute_force(spark):
     assert nearsets.similar_pairs(empty).count() == 0
 
 
+def test_equal_grams_counted_in_one_go():
+    rng = random.Random(9)
+    sets = [np.array(sorted(rng.sample(range(40), rng.randrange(1, 30))), dtype="<u8") for _ in range(60)]
+    raw = [s.view(np.uint8).reshape(-1, 8)[:, :6].tobytes() for s in sets]
+    a, b = raw[:30], raw[30:]
+    want = [len(set(x) & set(y)) / len(set(x) | set(y)) for x, y in zip(sets[:30], sets[30:])]
+    assert np.allclose(nearsets.jaccards(a, b), want) and nearsets.jaccards([], []).tolist() == []
+
+
 def test_every_record_has_a_class_row(spark, tmp_path):
     rows = [(1, ["the same few words again"]), (2, ["The same few words AGAIN"]), (3, ["the same few words again now"]), (4, ["quite other things stand here"]),
             (5, None), (6, []), (7, [None, "", "two words"]), (8, ["x y"])]
@@ -81,7 +90,7 @@ def test_signatures_estimate_similarity():
     b = np.r_[a[:300], rng.integers(0, 1 << 48, 100, dtype=np.uint64)]
     s = nearsets.signatures(np.r_[a, b], np.array([0, 400]))
     assert abs((s[:, 0] == s[:, 1]).mean() - 0.6) < 0.15
-    assert nearsets.jaccard(b"abcdef" * 1, b"abcdef") == 1.0
+    assert nearsets.jaccards([b"abcdef"], [b"abcdef"]).tolist() == [1.0]
 
 
 # --- problem 2
@@ -328,8 +337,8 @@ def test_only_unseen_contents_are_counted(spark):
     state, fresh = budget.update_counts(new, known, (budget.CHARACTERS,))
     assert fresh.count() == 100 and state.count() == 200
     unseen = state.join(known.where(known.tok == budget.tokenizer_hash("")), ["h1", "h2"], "left_anti")
-    bits = np.unpackbits(budget._bitmap(unseen), bitorder="little")
-    assert sorted(np.flatnonzero(bits)) == sorted({r.h1 & budget.BITS - 1 for r in unseen.collect()})
+    found = np.unpackbits(bits.index(unseen, unseen.h1.bitwiseAND(budget.BITS - 1), budget.BITS), bitorder="little")
+    assert sorted(np.flatnonzero(found)) == sorted({r.h1 & budget.BITS - 1 for r in unseen.collect()})
     records = spark.createDataFrame([(f"s{i}", 6 + (i > 9) + (i > 99), i) for i in range(200)], "slug string, char_count long, record_id long")
     assert budget.audit(records, content := budget.content_state(old), known).count() == 0 and content.count() == 200
     assert budget.audit(records.limit(0), content, known).count() == 0

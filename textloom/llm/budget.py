@@ -31,6 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..session import finished_runs, materialise, shared_dir
+from . import bits
 from .bpe import PATTERN, tokenizer_path
 
 #: Languages by their other spellings (fixed values).
@@ -43,7 +44,6 @@ KINDS = {"article": ["wiki article"], "book": ["book scan"], "tv": ["series"], "
 CHARACTERS = ""
 #: Bits of the bitmap of unseen contents: 8 MB.
 BITS = 1 << 26
-_BYTES = 4096  # of one bucket of the engine's bitmap functions
 _encoders: dict = {}
 
 
@@ -109,7 +109,7 @@ def measure(docs: DataFrame, tokenizers: Sequence[str], slug_col: str = "slug",
         for b in batches:
             if wanted is not None:
                 bit = np.array([_signed(k[:8]) & BITS - 1 for k in _hashed(b)[1]], dtype=np.int64)
-                b = b.filter(pa.array(wanted.value[bit >> 3] >> (bit & 7).astype(np.uint8) & 1 == 1))
+                b = b.filter(pa.array(bits.has(wanted.value, bit)))
             texts, keys, cols = _hashed(b)
             for t, k in zip(texts, keys):
                 if k not in seen:
@@ -122,17 +122,6 @@ def measure(docs: DataFrame, tokenizers: Sequence[str], slug_col: str = "slug",
     return _texts(docs, slug_col, text_col).mapInArrow(run, f"{STATE}, sizes array<long>")
 
 
-def _bitmap(hashes: DataFrame) -> np.ndarray:
-    """The bits h1 modulo BITS of all rows, put together by the engine; at most BITS / 8 bytes reach the driver."""
-    bit = F.col("h1").bitwiseAND(BITS - 1) + 1  # the engine numbers bits, and their buckets of 8 * _BYTES, from 1
-    rows = hashes.groupBy(F.bitmap_bucket_number(bit).alias("at")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")).collect()
-    out = np.zeros(BITS // 8, dtype=np.uint8)
-    for r in rows:
-        at = (r["at"] - 1) * _BYTES
-        out[at:at + _BYTES] |= np.frombuffer(r["bits"], dtype=np.uint8)
-    return out
-
-
 def _long(sized: DataFrame, tokenizers: Sequence[str]) -> DataFrame:
     """(tok, h1, h2, n) of every distinct content and tokenizer."""
     each = sized.groupBy("h1", "h2").agg(F.first("sizes").alias("sizes"))
@@ -154,7 +143,7 @@ def update_counts(docs: DataFrame, known: DataFrame | None = None, tokenizers: S
     had = known.where(F.col("tok").isin([tokenizer_hash(p) for p in tokenizers])).select("tok", "h1", "h2")
     full = had.groupBy("h1", "h2").agg(F.count_distinct("tok").alias("toks")).where(F.col("toks") == len(set(tokenizers)))
     unseen = state.select("h1", "h2").join(full, ["h1", "h2"], "left_anti")
-    wanted = docs.sparkSession.sparkContext.broadcast(_bitmap(unseen))
+    wanted = docs.sparkSession.sparkContext.broadcast(bits.index(unseen, F.col("h1").bitwiseAND(BITS - 1), BITS))
     fresh = _long(measure(docs, tokenizers, slug_col, text_col, wanted), tokenizers)
     return state, fresh.join(had, ["tok", "h1", "h2"], "left_anti")
 

@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import materialise
+from . import bits
 from .words import WordHashes, words
 
 UNIT, RADIUS, SHINGLE, LEAST = 12, 2, 5, 0.8
@@ -41,7 +42,6 @@ SIZES = (12, 16, 24, 32, 48, 64, 96, 128, 192, 256, 384, 512, 1024, 2048, 4096)
 VALUE_BITS = 21
 #: Words whose windows are made at once.
 CHUNK = 100_000
-_BYTES = 4096  # of one bucket of the engine's bitmap functions
 
 
 def simhash(hashes: np.ndarray, size: int) -> np.ndarray:
@@ -51,9 +51,9 @@ def simhash(hashes: np.ndarray, size: int) -> np.ndarray:
     pairs = shingles(hashes[None, :], 2)[0]
     # sums wrap around, their differences of at most ``size`` do not
     small = np.int8 if size <= 127 else np.int16
-    bits = np.unpackbits(pairs.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1)
+    each = np.unpackbits(pairs.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1)
     run = np.zeros((len(pairs) + 1, 64), dtype=small)
-    np.cumsum(bits.view(np.int8), axis=0, dtype=small, out=run[1:])
+    np.cumsum(each.view(np.int8), axis=0, dtype=small, out=run[1:])
     ones = run[size - 1:] - run[:len(pairs) - size + 2]
     return np.packbits(ones > (size - 1) // 2, axis=1).view("<u8").ravel().astype(np.uint64)
 
@@ -128,21 +128,6 @@ def item_windows(items: DataFrame, item_col: str, text_cols: Sequence[str], size
     return materialise(weighed.mapInArrow(cut, "size int, block int, value long, bit long, fp long, item long, seq binary, weights binary"), "windows")
 
 
-def _index(found: DataFrame, n_bits: int) -> np.ndarray:
-    """The bits of all block values that items have; at most n_bits / 8 bytes reach the driver."""
-    bit = F.col("bit") + 1  # the engine numbers bits, and their buckets of 8 * _BYTES, from 1
-    rows = found.groupBy(F.bitmap_bucket_number(bit).alias("at")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")).collect()
-    out = np.zeros(n_bits // 8, dtype=np.uint8)
-    for r in rows:
-        at = (r["at"] - 1) * _BYTES
-        out[at:at + _BYTES] = np.frombuffer(r["bits"], dtype=np.uint8)
-    return out
-
-
-def _lookup(index: np.ndarray, bit: np.ndarray) -> np.ndarray:
-    return index[bit >> 3] >> (bit & 7).astype(np.uint8) & 1 == 1
-
-
 def document_windows(docs: DataFrame, id_col: str, text_col: str, sizes: Sequence[int], radius: int, index) -> DataFrame:
     """(size, block, value, key, doc_fp, doc_seq): the windows that agree with some item window in a block."""
     src = docs.where(F.col(text_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("key"), F.col(text_col).alias("body"))
@@ -163,7 +148,7 @@ def document_windows(docs: DataFrame, id_col: str, text_col: str, sizes: Sequenc
         fp = simhash(h, size)
         v = values(fp, radius)
         inside = of[:len(fp)] == of[size - 1:]
-        block, at = np.nonzero(_lookup(index.value, _bits(v, no, radius)) & inside)
+        block, at = np.nonzero(bits.has(index.value, _bits(v, no, radius)) & inside)
         if len(at):
             seq = windows(h, size)
             yield pa.RecordBatch.from_arrays(
@@ -178,7 +163,7 @@ def leaking_windows(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
     """(key, item, similarity) of every document window and item window within the radius and at least ``least`` alike; equal ones alone if ``exact``."""
     sizes = tuple(sizes)
     found = item_windows(items, item_col, item_texts, sizes, radius, len(sizes) > 1)
-    index = docs.sparkSession.sparkContext.broadcast(_index(found, len(sizes) * (radius + 1) << VALUE_BITS))
+    index = docs.sparkSession.sparkContext.broadcast(bits.index(found, F.col("bit"), len(sizes) * (radius + 1) << VALUE_BITS))
     mine = document_windows(docs, id_col, text_col, sizes, radius, index)
     near = mine.join(found.drop("bit"), ["size", "block", "value"]).where(F.bit_count(F.col("doc_fp").bitwiseXOR(F.col("fp"))) <= radius)
     kind = mine.schema["key"].dataType.simpleString()

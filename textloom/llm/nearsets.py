@@ -13,10 +13,12 @@ J = 0.5, 0.07 % at 0.55, 0.002 % at 0.6 (and less than 0.02 % by the sketch).
 Scale: records with equal shingle sets are one class from the start (their
 64-bit set hash is the identity that bands, candidates and verification use),
 so a hot text adds one entry per band, not all pairs, and is collapsed in each
-task before the shuffle. Bands are joined by an equi join, whose skewed
-partitions AQE splits. Only 16 bytes per band entry are shuffled. The candidate
-classes are written to the shared folder before they are verified, which frees
-the shuffle files of the first part.
+task before the shuffle. Bands are joined by an equi join whose shuffle the engine
+asks for itself, so that AQE splits a hot band's partition. Only 16 bytes per band
+entry are shuffled. The candidate classes are written to the shared folder before
+they are verified, which frees the shuffle files of the first part, and deleted
+once they are thinned. A bitmap of fixed size tells the workers which classes have
+candidates; no other class's shingles are shuffled.
 
 Defined results: null or empty lists, null strings and strings of fewer than
 three words have no shingles; records without shingles have no pairs. Repeated
@@ -33,7 +35,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from ..session import materialise, release
+from ..session import materialise, release, remove, shared_dir, written
+from . import bits
 from .words import WordHashes
 
 GRAM, PERMS, ROWS, THRESHOLD = 3, 60, 3, 0.5
@@ -111,12 +114,14 @@ def _sketch(slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (bits[:PERMS] * half).sum(axis=0), (bits[PERMS:] * half).sum(axis=0)
 
 
-def _scan(df: DataFrame, id_col: str, list_col: str, emit, schema: str, bare=None) -> DataFrame:
+def _scan(df: DataFrame, id_col: str, list_col: str, emit, schema: str, bare=None, wanted=None) -> DataFrame:
     some = F.col(id_col).isNotNull() if bare else F.col(list_col).isNotNull() & F.col(id_col).isNotNull()
     src = df.where(some).select(F.col(id_col).cast("long").alias("id"), F.col(list_col).cast("array<string>").alias("items"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, seen = WordHashes(), set()
+        if wanted is not None:
+            seen = _Wanted(wanted.value)
         for b in batches:
             for k in range(0, b.num_rows, 1000):
                 part = b.slice(k, 1000)
@@ -131,12 +136,28 @@ def _scan(df: DataFrame, id_col: str, list_col: str, emit, schema: str, bare=Non
     return src.mapInArrow(run, schema)
 
 
+#: Bits of the bitmap of the classes that have candidates: 8 MB.
+BITS = 1 << 26
+
+
+class _Wanted(set):
+    """Classes met before; those without their bit in a bitmap count as met."""
+
+    def __init__(self, bitmap: np.ndarray):
+        super().__init__()
+        self.bitmap = bitmap
+
+    def left(self, fp: np.ndarray) -> np.ndarray:
+        return np.flatnonzero(bits.has(self.bitmap, fp & (BITS - 1)))
+
+
 def _unseen(fp: np.ndarray, seen: set) -> np.ndarray:
     """Places of set hashes that this task has not emitted yet; it forgets beyond 2 million."""
     if len(seen) > 2_000_000:
         seen.clear()
     out = []
-    for i, f in enumerate(fp.tolist()):
+    at = seen.left(fp) if isinstance(seen, _Wanted) else np.arange(len(fp))
+    for i, f in zip(at.tolist(), fp[at].tolist()):
         if f not in seen:
             seen.add(f)
             out.append(i)
@@ -182,21 +203,26 @@ def _emit_sets(ids, shingles, first, seen):
     yield pa.RecordBatch.from_arrays([pa.array(fp[new]), pa.array([raw[first[i]:ends[i]].tobytes() for i in new], pa.binary())], ["fp", "grams"])
 
 
-def _grams(raw: bytes) -> np.ndarray:
-    a = np.zeros((len(raw) // 6, 8), dtype=np.uint8)
-    a[:, :6] = np.frombuffer(raw, dtype=np.uint8).reshape(-1, 6)
-    return a.view("<u8").ravel()
+def _grams(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles of all sets in one array, each with the number of its set in the high bits, and the sizes of the sets."""
+    sizes = np.fromiter((len(r) // 6 for r in raw), np.int64, len(raw))
+    a = np.zeros((sizes.sum(), 8), dtype=np.uint8)
+    a[:, :6] = np.frombuffer(b"".join(raw), dtype=np.uint8).reshape(-1, 6)
+    return a.view("<u8").ravel() | np.repeat(np.arange(len(raw), dtype=np.uint64) << np.uint64(48), sizes), sizes
 
 
-def jaccard(a: bytes, b: bytes) -> float:
-    x, y = _grams(a), _grams(b)
-    both = len(np.intersect1d(x, y, assume_unique=True))
-    return both / (len(x) + len(y) - both)
+def jaccards(a: list[bytes], b: list[bytes]) -> np.ndarray:
+    """Similarity of each pair of sets; at most 65,536 pairs."""
+    (x, nx), (y, ny) = _grams(a), _grams(b)
+    both = np.bincount((np.intersect1d(x, y, assume_unique=True) >> np.uint64(48)).astype(np.int64), minlength=len(a))
+    return both / (nx + ny - both)
 
 
 @F.pandas_udf(T.DoubleType())
 def _similarity(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([jaccard(x, y) for x, y in zip(a, b)], dtype="float64")
+    step = 2000
+    parts = [jaccards(a.iloc[k:k + step].tolist(), b.iloc[k:k + step].tolist()) for k in range(0, len(a), step)]
+    return pd.Series(np.concatenate(parts) if parts else [], dtype="float64")
 
 
 def signed_records(df: DataFrame, id_col: str = "set_id", list_col: str = "facts", bare: bool = False) -> DataFrame:
@@ -205,10 +231,10 @@ def signed_records(df: DataFrame, id_col: str = "set_id", list_col: str = "facts
     return materialise(rows, "signatures")
 
 
-def _candidates(signed: DataFrame) -> DataFrame:
-    bands = _band_rows(signed).repartition("key")
+def _candidates(signed: DataFrame, folder: str) -> DataFrame:
+    bands = _band_rows(signed)
     a, b = bands.select("key", F.col("fp").alias("fp_a")), bands.select("key", F.col("fp").alias("fp_b"))
-    return materialise(a.join(b, "key").where("fp_a < fp_b").select("fp_a", "fp_b").distinct(), "candidates")
+    return written(a.join(b, "key").where("fp_a < fp_b").select("fp_a", "fp_b").distinct(), folder)
 
 
 def _thinned(signed: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -221,11 +247,17 @@ def _thinned(signed: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def similar_classes(df: DataFrame, signed: DataFrame, id_col: str = "set_id", list_col: str = "facts", threshold: float = THRESHOLD) -> DataFrame:
     """(fp_a, fp_b, similarity) for all pairs of different classes at ``threshold`` (0.5 or more)."""
-    pairs = _candidates(signed)
-    release(df.sparkSession)
+    spark = df.sparkSession
+    folder = shared_dir(spark, "candidates")
+    pairs = _candidates(signed, folder)
+    release(spark)
     thin = _thinned(signed, pairs)
-    release(df.sparkSession)
-    sets = _scan(df, id_col, list_col, _emit_sets, "fp long, grams binary").dropDuplicates(["fp"])
+    remove(spark, folder)
+    release(spark)
+    # the shingles of classes without candidates stay where they are
+    ends = thin.select(F.explode(F.array("fp_a", "fp_b")).alias("fp"))
+    wanted = spark.sparkContext.broadcast(bits.index(ends, F.col("fp").bitwiseAND(BITS - 1), BITS))
+    sets = _scan(df, id_col, list_col, _emit_sets, "fp long, grams binary", wanted=wanted).dropDuplicates(["fp"])
     full = thin.join(sets.select(F.col("fp").alias("fp_a"), F.col("grams").alias("ga")), "fp_a").join(
         sets.select(F.col("fp").alias("fp_b"), F.col("grams").alias("gb")), "fp_b")
     return full.select("fp_a", "fp_b", _similarity("ga", "gb").alias("similarity")).where(F.col("similarity") >= threshold)
@@ -234,15 +266,16 @@ def similar_classes(df: DataFrame, signed: DataFrame, id_col: str = "set_id", li
 def class_table(df: DataFrame, id_col: str = "set_id", list_col: str = "facts") -> DataFrame:
     """(id_col, class_id, links): every record of ``df`` with its class and the links of that class to other classes.
 
-    A record without shingles has a null class and 0 links.
+    A class is named by its smallest id. A record without shingles has a null class and 0 links.
     """
     records = signed_records(df, id_col, list_col, bare=True)
     signed = records.where("fp is not null")
     links = similar_classes(df, signed, id_col, list_col)
     both = links.select(F.explode(F.array("fp_a", "fp_b")).alias("fp")).groupBy("fp").agg(F.count("*").alias("links"))
-    classes = signed.select("id", "fp").join(both, "fp", "left").select("id", "fp", F.coalesce("links", F.lit(0)).alias("links"))
-    none = records.where("fp is null").select("id", "fp", F.lit(0).cast("long").alias("links"))
-    return classes.unionByName(none).select(F.col("id").alias(id_col), F.col("fp").alias("class_id"), "links")
+    named = signed.groupBy("fp").agg(F.min("id").alias("class_id")).join(both, "fp", "left").select("fp", "class_id", F.coalesce("links", F.lit(0)).alias("links"))
+    classes = signed.select("id", "fp").join(named, "fp").select("id", "class_id", "links")
+    none = records.where("fp is null").select("id", F.lit(None).cast("long").alias("class_id"), F.lit(0).cast("long").alias("links"))
+    return classes.unionByName(none).select(F.col("id").alias(id_col), "class_id", "links")
 
 
 def similar_pairs(df: DataFrame, id_col: str = "set_id", list_col: str = "facts", threshold: float = THRESHOLD) -> DataFrame:

@@ -117,6 +117,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 #: Python's white space as a class for the SQL engine's regular expressions.
 _WS = r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
 
+_ALIKE = r"""
+        WITH f AS (SELECT set_id, unnest(facts) AS fact FROM fact_sets),
+        w AS (SELECT set_id, regexp_extract_all(lower(fact), '[\p{L}\p{N}]+') AS w FROM f WHERE fact IS NOT NULL),
+        g AS (SELECT DISTINCT set_id, unnest(list_transform(range(1, len(w) - 1), lambda i: list_aggregate(w[i:i + 2], 'string_agg', ' '))) AS g FROM w WHERE len(w) >= 3),
+        n AS (SELECT set_id, count(*) AS n FROM g GROUP BY set_id),
+        c AS (SELECT a.set_id AS set_a, b.set_id AS set_b, count(*) AS c FROM g a JOIN g b ON a.g = b.g AND a.set_id < b.set_id GROUP BY 1, 2)"""
+
 _REPEATED = rf"""
         WITH lines AS (
           SELECT doc_id, source, CAST(unnest(range(1, len(l) + 1)) AS INTEGER) AS line_no, unnest(l) AS raw
@@ -139,13 +146,14 @@ def _spelt_sql(column: str, names: dict[str, list[str]]) -> str:
 
 
 SQL: dict[str, str] = {
-    "p1_found": r"""
-        WITH f AS (SELECT set_id, unnest(facts) AS fact FROM fact_sets),
-        w AS (SELECT set_id, regexp_extract_all(lower(fact), '[\p{L}\p{N}]+') AS w FROM f WHERE fact IS NOT NULL),
-        g AS (SELECT DISTINCT set_id, unnest(list_transform(range(1, len(w) - 1), lambda i: list_aggregate(w[i:i + 2], 'string_agg', ' '))) AS g FROM w WHERE len(w) >= 3),
-        n AS (SELECT set_id, count(*) AS n FROM g GROUP BY set_id),
-        c AS (SELECT a.set_id AS set_a, b.set_id AS set_b, count(*) AS c FROM g a JOIN g b ON a.g = b.g AND a.set_id < b.set_id GROUP BY 1, 2)
+    "p1_found": rf"""{_ALIKE}
         SELECT set_a, set_b FROM c JOIN n x ON x.set_id = set_a JOIN n y ON y.set_id = set_b WHERE 2 * c >= x.n + y.n - c""",
+    "p1_classes": rf"""{_ALIKE},
+        s AS (SELECT set_id, list_sort(list(g)) AS gs FROM g GROUP BY set_id), k AS (SELECT set_id, min(set_id) OVER (PARTITION BY gs) AS class_id FROM s),
+        p AS (SELECT a.class_id AS a, b.class_id AS b FROM c JOIN n x ON x.set_id = set_a JOIN n y ON y.set_id = set_b JOIN k a ON a.set_id = set_a JOIN k b ON b.set_id = set_b
+              WHERE 2 * c >= x.n + y.n - c AND a.class_id <> b.class_id),
+        l AS (SELECT a AS class_id, count(DISTINCT b) AS links FROM (SELECT a, b FROM p UNION ALL SELECT b, a FROM p) GROUP BY a)
+        SELECT set_id, class_id, coalesce(links, 0) AS links FROM fact_sets LEFT JOIN k USING (set_id) LEFT JOIN l USING (class_id)""",
     "p7_found": """
         SELECT r.record_id FROM corpus_records r LEFT JOIN documents d ON r.slug = d.slug
         WHERE r.char_count IS NULL OR d.slug IS NULL OR r.char_count <> coalesce(length(d.text), 0)""",
