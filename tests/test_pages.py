@@ -228,6 +228,33 @@ def test_title_job(spark, tmp_path):
     assert jobs.fetch_titles(spark, "u", ["X"], out, fetch=None).count() == 2
 
 
+def test_scrape_fetches_each_page_once(spark, tmp_path):
+    calls = tmp_path / "calls"
+    calls.mkdir()
+
+    def fetch(url, params):
+        import os
+        import uuid
+
+        open(os.path.join(str(calls), f"{params['pageid']}-{uuid.uuid4().hex}"), "w").close()
+        page = {"title": f"Page {params['pageid']}", "text": f"<p>{LONG}</p>" if params["pageid"] != 3 else "<p>x</p>", "categories": []}
+        return (200, {}, json.dumps({"parse": page} if params["pageid"] != 5 else {"error": {"code": "missing", "info": "no"}}))
+
+    (tmp_path / "list").mkdir()
+    (tmp_path / "list/a.json").write_text("".join(json.dumps({"pageid": k, "title": f"Page {k}", "ns": 0, "sources": ["tree"]}) + "\n" for k in range(1, 7)))
+    got = {r.status: r.n for r in jobs.scrape(spark, str(tmp_path / "list"), "https://x/w/api.php", str(tmp_path / "out"), fetch=fetch).collect()}
+    assert got == {"ok": 4, "empty": 1, "error": 1}
+    assert sorted(int(n.split("-")[0]) for n in os.listdir(calls)) == [1, 2, 3, 4, 5, 6]
+
+
+def test_table_corners():
+    rows = tables.compact(tables.laid_out(next(parse("<table><tr><td></td><td>only here</td></tr><tr><td>k</td><td></td></tr><tr><td>l</td></tr></table>").find("table"))))
+    assert tables.as_list(rows) == "- k\n- l"
+    assert tables.table_spans("<table>a<TABLE>b</table></table> </table><table>") == [(0, 32)]
+    lost = next(parse("<table><tr><td>a<td rowspan=3>b<tr><tr><td>c<td>d</table>").find("table"))
+    assert [[c.text for c in r] for r in tables.laid_out(lost)] == [["a", "b"], [], ["c", "d"]]
+
+
 def test_transcript_service_job(spark, tmp_path):
     def request(path, params):
         if path == "/subtitles":

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .functions import text as fn
 from .operators import chunking, dedup, facts as fact_ops, graph, selection, stats, subtitles, tagging
 from .operators.markup import pages as markup
-from .session import build_session
+from .session import build_session, materialise
 from .sources import readers, sinks, web
 
 
@@ -32,7 +32,7 @@ def convert_dump(spark: SparkSession, dump: str, out: str, source: str = "wiki",
     pages = pages.withColumn("path", F.concat(fn.shard(safe), F.lit("/"), safe, F.lit(".md")))
     todo = pages.join(_done(spark, out, force, True), "path", "left_anti")
     todo = todo.orderBy("id").limit(limit) if limit else todo
-    done = markup.convert_dump(todo)
+    done = materialise(markup.convert_dump(todo), "converted")
     safe = fn.sanitize_filename(F.col("title"))
     doc = fn.yaml_document(F.col("title"), F.lit(source), None, F.col("categories"), F.col("body"), F.col("infobox_md"))
     done = done.select(F.concat(fn.shard(safe), F.lit("/"), safe, F.lit(".md")).alias("path"), doc.alias("doc"), "error")
@@ -64,9 +64,9 @@ def scrape(spark: SparkSession, article_list: str, api: str, out: str, letters:
     todo = readers.read_article_list(spark, article_list, letters, limit)
     safe = fn.sanitize_filename(F.col("title"))
     todo = todo.withColumn("path", F.concat(fn.shard(safe), F.lit("/"), safe, F.lit(".md"))).join(_done(spark, out, overwrite), "path", "left_anti")
-    got = web.fetch_pages(todo, api, fetch)
+    got = materialise(web.fetch_pages(todo, api, fetch), "fetched")
     lost = got.where("error is not null").select(F.lit("error").alias("status"))
-    done = markup.convert_rendered(got.where("error is null"))
+    done = materialise(markup.convert_rendered(got.where("error is null")), "converted")
     safe = fn.sanitize_filename(F.col("title"))
     base = api.rsplit("/w/", 1)[0] + "/wiki/"
     doc = fn.yaml_document(F.col("title"), F.lit("wiki"), fn.page_url(base, F.col("title")), F.col("categories"), F.col("body"))
@@ -84,7 +84,7 @@ def clean_transcripts(spark: SparkSession, root: str, out: str, strip_speakers:
     rows = rows.join(files.groupBy("slug").agg(F.min("source_detail").alias("source_detail")), "slug").withColumn("source", F.lit("local"))
     if not force and os.path.isdir(f"{out}/transcripts"):
         rows = rows.join(spark.read.parquet(f"{out}/transcripts").select("slug"), "slug", "left_anti")
-    sinks.write_transcripts(rows, out, append=not force)
+    sinks.write_transcripts(materialise(rows, "transcripts"), out, append=not force)
     manifest = readers.read_manifest(spark, f"{out}/manifest")
     return dedup.last_at_first_place(manifest, "slug", "pos").orderBy("pos").drop("pos")
 
@@ -94,6 +94,7 @@ def extract_books(spark: SparkSession, root: str, out: str, pages_of, prefix: st
     rows = readers.read_books(spark, root, pages_of)
     rows = rows.withColumn("name", F.concat(fn.book_name(F.element_at(F.split("path", "/"), -1), prefix), F.lit(".txt")))
     rows = rows.drop("path").withColumnRenamed("name", "path").join(_done(spark, out, force), "path", "left_anti")
+    rows = materialise(rows, "books")
     ok = sinks.export_files(rows.where("error is null"), out, "path", "text").select("status")
     return ok.unionByName(rows.where("error is not null").select(F.lit("failed").alias("status"))).groupBy("status").agg(F.count("*").alias("n"))
 

@@ -1,13 +1,13 @@
 """Breadth-first search over category graphs.
 
-One join of the frontier with the member edges per level; visited categories
-are held back by an anti join. Every level is cut off from its lineage by a
-table in the shared folder. The driver only sees row counts.
+One join of the frontier with the member edges per level, written once; visited
+categories are held back by an anti join. Every level is cut off from its lineage
+by a table in the shared folder. The driver only sees row counts.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..session import materialise
 
@@ -18,7 +18,8 @@ def crawl(edges: DataFrame, root: str, max_depth: int | None = None, exclude: tu
     ``edges`` is (parent, seq, title, pageid, ns, type) with type 'page' or
     'subcat'. Articles carry the depth and the category of their first
     sighting in breadth-first order, which is (depth, category number, seq);
-    categories are numbered in that order. Excluded categories are not entered, nor
+    the numbers of a level's
+    categories grow in that order. Excluded categories are not entered, nor
     are those below ``max_depth``. Cycles are cut by the visited categories.
     """
     spark = edges.sparkSession
@@ -26,9 +27,9 @@ def crawl(edges: DataFrame, root: str, max_depth: int | None = None, exclude: tu
     visited = materialise(frontier, "bfs")
     frontier = visited
     sightings = None
-    depth, count = 0, 1
+    depth = 0
     while True:
-        members = edges.join(frontier.select(F.col("title").alias("parent"), "depth", "num"), "parent")
+        members = materialise(edges.join(frontier.select(F.col("title").alias("parent"), "depth", "num"), "parent"), "members")
         pages = members.where((F.col("type") == "page") & (F.col("ns") == page_ns)).select(
             "pageid", "title", "ns", "depth", F.col("parent").alias("via_category"), "num", "seq")
         sightings = pages if sightings is None else sightings.unionByName(pages)
@@ -38,14 +39,12 @@ def crawl(edges: DataFrame, root: str, max_depth: int | None = None, exclude: tu
         if exclude:
             subs = subs.where(~F.col("title").isin(*exclude))
         first = subs.groupBy("title").agg(F.min(F.struct("num", "seq")).alias("at")).join(visited.select("title"), "title", "left_anti")
-        # numbers continue in breadth-first order; a level's categories are few next to its pages
-        order = Window.partitionBy(F.lit(0)).orderBy("at")
-        level = materialise(first.select("title", F.lit(depth + 1).alias("depth"), (F.row_number().over(order) + count - 1).cast("long").alias("num")), "bfs")
-        n = level.count()
-        if not n:
+        # numbers need only grow in breadth-first order, so a sort by range gives them and no task sees a whole level
+        level = materialise(first.orderBy("at").select("title", F.lit(depth + 1).alias("depth"), F.monotonically_increasing_id().alias("num")), "bfs")
+        if level.isEmpty():
             break
         visited = visited.unionByName(level)
-        frontier, depth, count = level, depth + 1, count + n
+        frontier, depth = level, depth + 1
     best = sightings.groupBy("pageid").agg(F.min_by(F.struct("title", "ns", "depth", "via_category"), F.struct("depth", "num", "seq")).alias("a"))
     return best.select("pageid", "a.*"), visited.select("title", "depth", "num")
 

@@ -35,22 +35,13 @@ class Node:
     def find(self, *tags: str) -> Iterator[Node]:
         return (n for n in self.walk() if n.tag in tags)
 
-    def remove(self) -> None:
-        if self.parent is not None:
-            self.parent.children = [c for c in self.parent.children if c is not self]
-            self.parent = None
-
-    def unwrap(self) -> None:
-        """Put the children in this element's place."""
-        p = self.parent
-        if p is None:
-            return
-        k = next(i for i, c in enumerate(p.children) if c is self)
-        p.children[k:k + 1] = self.children
-        for c in self.children:
+    def holding(self, children: list[Node | str]) -> Node:
+        """This element with the children in it."""
+        self.children = children
+        for c in children:
             if isinstance(c, Node):
-                c.parent = p
-        self.parent, self.children = None, []
+                c.parent = self
+        return self
 
     def strings(self) -> Iterator[str]:
         todo: list[Node | str] = [self]
@@ -127,9 +118,3 @@ def matches(n: Node, selector: str) -> bool:
         if (kind == "." and name not in n.classes) or (kind == "#" and n.attrs.get("id") != name):
             return False
     return True
-
-
-def attached(n: Node, root: Node) -> bool:
-    while n is not None and n is not root:
-        n = n.parent
-    return n is root

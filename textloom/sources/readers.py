@@ -11,7 +11,7 @@ import os
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.text import strip
 
@@ -43,7 +43,11 @@ def list_files(root: str, endings: tuple[str, ...] | None = None) -> list[str]:
 
 def read_files(spark: SparkSession, root: str, endings: tuple[str, ...] | None = None, files_per_task: int = 500) -> DataFrame:
     """(path, text) of every file, also of empty ones; bad bytes become U+FFFD and line ends line feeds."""
-    paths = list_files(root, endings)
+    return read_paths(spark, list_files(root, endings), files_per_task)
+
+
+def read_paths(spark: SparkSession, paths: list[str], files_per_task: int = 500) -> DataFrame:
+    """(path, text) of the files, read in the tasks."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -91,8 +95,7 @@ def read_article_list(spark: SparkSession, path: str, letters: list[str] | None
 def read_subtitles(spark: SparkSession, root: str) -> DataFrame:
     """(path, raw) of .srt and .vtt files of any case, in every subfolder."""
     paths = [p for p in list_files(root) if p.lower().endswith((".srt", ".vtt"))]
-    files = read_files(spark, root)
-    return files.where(F.lower("path").rlike("\\.(srt|vtt)\\z")).select("path", F.col("text").alias("raw")) if paths else spark.createDataFrame([], "path string, raw string")
+    return read_paths(spark, paths).select("path", F.col("text").alias("raw"))
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
@@ -138,10 +141,3 @@ def read_books(spark: SparkSession, root: str, pages_of: Callable[[bytes], list[
 def read_seeds(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     """(name, year, kind, imdb_id, seasons): the titles whose transcripts are wanted."""
     return spark.createDataFrame(rows, "name string, year int, kind string, imdb_id string, seasons int")
-
-
-def ends_with_any(x: Column, endings: tuple[str, ...]) -> Column:
-    out = F.lit(False)
-    for e in endings:
-        out = out | x.endswith(e)
-    return out
