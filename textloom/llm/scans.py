@@ -2,15 +2,20 @@
 
 A word model of the corpus (a count-min sketch of fixed size over the words of
 all documents) drives the decoding. Furniture lines (running headers and footers,
-page numbers, stamps) are taken out. Each stretch between blanks then gets its
-best reading on its own: the word as it stands, with confused characters put
-right, joined across a line break that carries a cut sign, or split in two.
-Paragraph boundaries are then chosen by dynamic programming over the lines, and
-a Viterbi search over each paragraph merges the pieces of words that a stray
-blank or a line break without a sign has parted; these are no defects of a line.
+page numbers, stamps) are taken out, and what is left of a page is one stream
+without line breaks. A Viterbi search over the stream finds the likeliest words:
+an arc takes a stretch between blanks as it stands, with confused characters put
+right, or split in two; neighbours merged over a stray blank or a break without
+sign; and two ends at a cut sign as one word or as a compound that keeps its
+hyphen, either with confusions. Every arc's score is a log probability: the shares
+of its words in the corpus and the odds of what the scan did to them. The defects
+of a line are read off the best path. Paragraph boundaries are then chosen by
+dynamic programming over the lines; the merges and splits, which are no defects,
+are in the text alone.
 
 Scale: two narrow passes over the documents. Between them only the sketch's
 cells are shuffled and collected, at most ``2 * CELLS`` however large the corpus.
+All bars are shares of the corpus, but for the smoothing of counts near nought.
 
 Defined results: null, empty or blank texts give no lines and an empty text. A
 furniture line has no other defect. Repeated document ids give each row once.
@@ -23,6 +28,7 @@ import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 from difflib import SequenceMatcher
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -54,26 +60,30 @@ _num_title = re.compile(rf"^{_number}\s*(?:\||\s{{2,}})\s*(.+)$", re.I)
 _title_num = re.compile(rf"^(.+?)\s*(?:\||\s{{2,}})\s*{_number}$", re.I)
 
 
+_look_alike = str.maketrans("01!9ſ|", "oligsl")
+
+
 def _plain(s: str) -> str:
-    return re.sub(r"[^a-z]+", "", s.lower().translate(str.maketrans("01!9ſ|", "oligsl")))
+    """The letters of a line, of any script, in lower case, look-alikes put right."""
+    return "".join(_letters.findall(s.lower().translate(_look_alike)))
 
 
 def like_title(s: str, title: str | None) -> bool:
-    a, b = _plain(s), _plain(title or "")
+    if not title or len(s) > 2 * len(title) + 40:
+        return False
+    a, b = _plain(s), _plain(title)
     return len(b) >= 4 and (a == b or (abs(len(a) - len(b)) <= 4 and SequenceMatcher(None, a, b, autojunk=False).ratio() >= 0.85))
 
 
 def is_furniture(line: str, title: str | None) -> bool:
     s = line.strip()
-    if not s or len(s) > 120:
+    if not s:
         return False
     if _page.match(s) or _stamp.match(s) or (s[0] == s[-1] == "*" and len(s) > 2) or like_title(s, title):
         return True
-    for pattern in (_chapter, _num_title, _title_num):
-        m = pattern.match(s)
-        if m and like_title(m[1], title):
-            return True
-    return False
+    if not title or len(s) > 2 * len(title) + 40:
+        return False
+    return any((m := pattern.match(s)) and like_title(m[1], title) for pattern in (_chapter, _num_title, _title_num))
 
 
 class WordCounts:
@@ -159,8 +169,8 @@ def count_words(docs: DataFrame, text_col: str = "text") -> WordCounts:
 def variants(word: str, most: int = 2, begins: Callable[[str], int] | None = None) -> Iterator[tuple[str, int, int]]:
     """(reading, changes, place of the first change) with up to ``most`` confusions put right.
 
-    Of long words, readings are left out whose beginning fewer than LEAST words
-    have by ``begins``: none of those is a word of the model.
+    Of long words, readings are left out whose beginning no word has by ``begins``:
+    none of those is a word of the model.
     """
     frontier = [(word, 0, 0, -1)]
     seen = {word}
@@ -171,7 +181,7 @@ def variants(word: str, most: int = 2, begins: Callable[[str], int] | None = Non
         known = 0
         for i in range(start, len(w)):
             if begins and (whole := i // STEP * STEP) > known:
-                if begins(w[:whole]) < LEAST:
+                if begins(w[:whole]) < 1:
                     break
                 known = whole
             for read, meant in _by_first.get(w[i], ()):
@@ -185,25 +195,40 @@ def variants(word: str, most: int = 2, begins: Callable[[str], int] | None = Non
                             frontier.append((v, i + len(meant), n + 1, where))
 
 
-#: Counts that a reading needs, and by how much it must be more frequent than the word as it stands.
-LEAST, RATIO = 3, 20
-#: Words of the corpus that the other bars are stated for; they grow with the corpus, so that they are shares of it.
+#: Log odds of a confused character; of a stray blank inside a word; of a blank lost between two words.
+CONFUSED, STRAY, RUN_ON = -3.0, math.log(1e-5), math.log(0.27)
+#: Log odds by which a sign inside a word is less likely than a confusion.
+SIGN = -1.0
+#: Share of the corpus that a word has which the model lacks, and the count that it has at least.
+UNKNOWN, SMOOTH = 3.7e-8, 0.1
+#: Share of UNKNOWN of a word that a line break cuts and the model lacks.
+CUT_UNKNOWN = 0.0093
+#: Words that a merged word is made of at most.
+PIECES = 3
+#: Words of a corpus of unknown size.
 SIZE = 2_700_000
 
 
+class Reading(NamedTuple):
+    """How a word is read: log probability but for the corpus' size, text, place of the first confusion or -1."""
+
+    score: float
+    text: str
+    place: int
+
+
 class Decoder:
     """Readings of words under the word model, remembered per worker."""
 
     def __init__(self, counts: WordCounts):
         self.counts = counts
-        self.known: dict[str, tuple[str, int]] = {}
-
-    def bar(self, count: int) -> float:
-        """A count stated for SIZE words, for the corpus at hand."""
-        return count * (getattr(self.counts, "total", 0) or SIZE) / SIZE
+        self.total = getattr(counts, "total", 0) or SIZE
+        self.log_total = math.log(self.total)
+        self.unknown = max(SMOOTH, UNKNOWN * self.total)
+        self.known: dict[str, Reading] = {}
 
-    def read(self, word: str) -> tuple[str, int]:
-        """(reading, place of the first confusion or -1) of one word, without its outer punctuation."""
+    def read(self, word: str) -> Reading:
+        """The best reading of one word, without its outer punctuation."""
         got = self.known.get(word)
         if got is None:
             if len(self.known) > 500_000:
@@ -211,33 +236,89 @@ class Decoder:
             got = self.known[word] = self._read(word)
         return got
 
-    def _read(self, word: str) -> tuple[str, int]:
-        low = word
-        if not _letters.search(low) or len(low) < 2:
-            return word, -1
-        here = self.counts(low)
-        mixed = bool(_foreign.search(low)) and bool(re.search(r"[a-zà-ÿ]", word)) and not re.fullmatch(r"[A-Za-z]{1,3}[-‐]?\d+|\d+[a-z]{1,3}", word)
-        best, place, score = word, -1, math.log(here + 0.1)
-        for v, n, where in variants(low, 3 if mixed else 2, getattr(self.counts, "begins", None)):
+    def stands(self, word: str) -> float:
+        """Score of a word as it is; its own place does not count for it."""
+        return math.log(max(0, self.counts(word) - 1) + self.unknown)
+
+    def confused(self, word: str, most: int = 2) -> Reading | None:
+        """The best reading with confusions that is a word of the model."""
+        best = None
+        for v, n, where in variants(word, most, getattr(self.counts, "begins", None)):
             c = self.counts(v)
-            if c >= LEAST and (mixed or c >= RATIO * max(0, here - 1) and c > here) and (s := math.log(c) - 3.0 * (n - 1)) > (score if not mixed or place >= 0 else -99.0):
-                best, place, score = v, where, s
-        if place >= 0:
-            return best, place
-        if mixed and re.search(r"[^\W\d_][!01569|$@][^\W\d_]|[ſﬁﬂ]|^[01][a-z]{2,}|[a-z]{2,}[019]$", word):
-            v = low
-            for a, b in CONFUSIONS[:8]:
-                v = v.replace(a, b)
-            return v, _foreign.search(low).start()
-        return word, -1
-
-    def split(self, word: str) -> tuple[str, str] | None:
-        """Two words run together, if the parts are far more frequent than the whole."""
-        low = word
-        if len(low) < 6 or self.counts(low) > max(1, self.bar(1)) or not low.isalpha():
+            if c and (best is None or math.log(c) + CONFUSED * n > best.score):
+                best = Reading(math.log(c) + CONFUSED * n, v, where)
+        return best
+
+    def _read(self, word: str) -> Reading:
+        if not _letters.search(word) or len(word) < 2:
+            return Reading(self.stands(word), word, -1)
+        signs = len(_foreign.findall(word)) if re.search(r"[a-zà-ÿ]", word) and not re.fullmatch(r"[A-Za-z]{1,3}[-‐]?\d+|\d+[a-z]{1,3}", word) else 0
+        score = self.stands(word)
+        ways = []
+        if signs:  # a sign among letters is hardly ever meant, however often it is read
+            score = math.log(self.unknown) + CONFUSED * (signs - 1)
+            if re.search(r"[^\W\d_][!01569|$@][^\W\d_]|[ſﬁﬂ]|^[01569][a-z]{2,}|[a-z]{2,}[019]$", word):
+                score += CONFUSED + SIGN
+                v = word
+                for a, b in CONFUSIONS[:8]:
+                    v = v.replace(a, b)
+                ways.append(Reading(math.log(self.unknown) + CONFUSED * signs + SIGN / 2, v, _foreign.search(word).start()))
+        if (got := self.confused(word, 3 if signs else 2)) is not None:
+            ways.append(got)
+        stand = Reading(score, word, -1)
+        if _joint.search(word):
+            parts = [self.read(x) for x in _joint.split(word)]
+            in_parts = sum(p.score for p in parts) - self.log_total * (len(parts) // 2)  # the joints are sure
+            if any(p.place >= 0 for p in parts):
+                ways.append(Reading(in_parts, "".join(p.text for p in parts), self._first(parts)))
+            else:
+                stand = Reading(max(score, in_parts), word, -1)
+        best = max(ways, key=lambda r: r.score, default=stand)
+        return best if best.score > stand.score else stand
+
+    @staticmethod
+    def _first(parts: list[Reading]) -> int:
+        at = 0
+        for p in parts:
+            if p.place >= 0:
+                return at + p.place
+            at += len(p.text)
+        return -1
+
+    def split(self, word: str) -> tuple[float, str] | None:
+        """(log probability, two words) of the likeliest words that have run together."""
+        if len(word) < 6 or not word.isalpha():
+            return None
+        least = self.unknown  # parts that the model lacks are not worth a look
+        n, i = max((min(self.counts(word[:i]), self.counts(word[i:])), i) for i in range(2, len(word) - 1))
+        if n <= least:
             return None
-        best = max(((min(self.counts(low[:i]), self.counts(low[i:])), i) for i in range(2, len(low) - 1)), default=(0, 0))
-        return (word[:best[1]], word[best[1]:]) if best[0] >= max(LEAST, self.bar(1000)) else None
+        a, b = word[:i], word[i:]
+        return math.log(self.counts(a)) + math.log(self.counts(b)) - 2 * self.log_total + RUN_ON, f"{a} {b}"
+
+    def cut(self, head: str, tail: str, sign: str) -> tuple[float, bool, Reading]:
+        """(log probability, whether one word was cut, its reading) of head + sign at a line's end and tail at the next line's start."""
+        def known(word: str) -> Reading | None:
+            n = self.counts(word)
+            own = Reading(math.log(n), word, -1) if n else None
+            other = None if n else self.confused(word)
+            return own or other
+
+        whole = known(head + tail) or Reading(math.log(CUT_UNKNOWN * self.unknown), head + tail, -1)
+        if (other := self.read(head + tail)).place >= 0 and other.score > whole.score:
+            whole = other
+        best = (whole.score - self.log_total, True, whole)
+        if sign in "¬\xad":
+            return best
+        own = f"{head}-{tail}"
+        if (joint := known(own)) is not None and joint.score - self.log_total >= best[0]:
+            best = (joint.score - self.log_total, False, joint)
+        a, b = self.read(head), self.read(tail)
+        if joint is None and min(len(head), len(tail)) >= 3 and tail[:1].islower() and min(self.counts(a.text), self.counts(b.text)):
+            parts = Reading(a.score + b.score - self.log_total, f"{a.text}-{b.text}", a.place if a.place >= 0 else len(a.text) + 1 + b.place if b.place >= 0 else -1)
+            if parts.score - self.log_total > best[0]:
+                best = (parts.score - self.log_total, False, parts)
+        return best
 
 
 _outer = "\"'“”‘’„«»()[]{},;:?…"
@@ -252,139 +333,114 @@ def _bare(token: str) -> tuple[str, int]:
     return w, a
 
 
-def joined_word(dec: Decoder, head: str, tail: str, sign: str) -> bool:
-    """Whether head + sign at a line's end and tail at the next line's start are one word that was cut."""
-    if not head[-1:].isalpha() or not tail[:1].isalpha():
-        return False
-    own = f"{head}-{tail}"
-    whole, compound = dec.counts(head + tail), max(dec.counts(own), dec.counts(dec.read(own)[0]))
-    if sign in "¬\xad":
-        return True
-    if whole > compound:
-        return True
-    if compound > 0:
-        return False
-    fixed = dec.counts(dec.read(head + tail)[0])
-    if fixed >= LEAST:
-        return True
-    # neither form is known: a compound needs two frequent words of some length
-    a, b = dec.counts(head), dec.counts(tail)
-    return not (min(a, b) >= max(LEAST, dec.bar(50)) and min(len(head), len(tail)) >= 3 and tail[:1].islower())
+class Token(NamedTuple):
+    """A stretch between blanks: its line and the blanks before it, its text, the word in it, where that starts, and whether it ends the line."""
+
+    line: int
+    before: str
+    text: str
+    word: str
+    at: int
+    last: bool
+
+
+class Arc(NamedTuple):
+    """The words that some tokens are read as: log probability, tokens taken, text, kind, line of a misread word or -1."""
+
+    score: float
+    taken: int
+    text: str
+    kind: str
+    misread: int
 
 
-def defects(text: str, title: str | None, dec: Decoder) -> tuple[list[tuple[int, str]], list[str | None]]:
-    """((line_no, defect), ...) and the repaired lines; furniture is None, cut words are whole in their first line."""
-    lines = text.split("\n")
-    found: list[tuple[int, str]] = []
-    out: list[str | None] = list(lines)
-    body = []
-    for k, line in enumerate(lines):
-        if is_furniture(line, title):
-            found.append((k + 1, "furniture"))
-            out[k] = None
-        elif line.strip():
-            body.append(k)
-    carried = 0  # tokens of the next line that belong to a word cut before
-    for at, k in enumerate(body):
-        line = out[k] or ""
-        spans = [m.span() for m in _core.finditer(line)]
-        pieces: list[str] = []
-        last = 0
-        wrong = False
-        for n, (a, b) in enumerate(spans):
-            pieces.append(line[last:a])
-            last = b
-            if n == 0 and carried:
-                pieces.append("")
-                continue
-            token = line[a:b]
-            nxt = body[at + 1] if at + 1 < len(body) else None
-            if n == len(spans) - 1 and token[-1] in CUT_SIGNS and nxt is not None and len(token) > 1:
-                head, off = _bare(token[:-1])
-                after = lines[nxt].split()
-                tail, _ = _bare(after[0])
-                if head and tail and joined_word(dec, head.rsplit("-", 1)[-1] if "-" in head else head, tail, token[-1]):
-                    found.append((k + 1, "hyphen"))
-                    fixed, place = dec.read(head + tail)
-                    if place >= 0:
-                        if place < len(head):
-                            wrong = True
-                        else:
-                            found.append((nxt + 1, "misread"))
-                    rest = after[0][after[0].find(tail) + len(tail):]
-                    pieces.append(token[:off] + fixed + rest)
-                    carried = 2
-                    continue
-                if head and tail:
-                    # a compound keeps its hyphen; it may be misread on either side of the break
-                    place = dec.read(f"{head}-{tail}")[1]
-                    if 0 <= place < len(head):
-                        wrong = True
-                    elif place >= 0:
-                        found.append((nxt + 1, "misread"))
-            word, off = _bare(token)
-            fixed, place = dec.read(word) if word else (word, -1)
-            if place < 0 and _joint.search(word) and not dec.counts(word) > max(2, dec.bar(2)):
-                parts = [dec.read(x) for x in _joint.split(word)]
-                if any(p >= 0 for _, p in parts):
-                    fixed, place = "".join(x for x, _ in parts), 0
-            if place >= 0:
-                wrong = True
-                token = token[:off] + fixed + token[off + len(word):]
-            elif word and (two := dec.split(word)):
-                token = token[:off] + " ".join(two) + token[off + len(word):]
-            pieces.append(token)
-        pieces.append(line[last:])
-        carried = 1 if carried == 2 else 0
-        if wrong:
-            found.append((k + 1, "misread"))
-        out[k] = "".join(pieces)
-    return sorted(set(found)), out
-
-
-#: Log odds of a stray blank inside a word, and of how many pieces one word is made at most.
-STRAY, PIECES = math.log(1e-5), 3
 _joins = re.compile(r"[^\W\d_]+")
 
 
-def decode(paragraph: str, dec: Decoder) -> str:
-    """The likeliest words of a paragraph: pieces that a blank or an unsigned line break parts are merged.
+def arcs(stream: list[Token], i: int, dec: Decoder) -> Iterator[Arc]:
+    """All readings of the stream that begin at a token."""
+    t = stream[i]
+    put = lambda word: t.text[:t.at] + word + t.text[t.at + len(t.word):]
+    nxt = stream[i + 1] if i + 1 < len(stream) else None
+    if t.last and nxt and len(t.text) > 1 and t.text[-1] in CUT_SIGNS:
+        head, off = _bare(t.text[:-1])
+        front, _, end = head.rpartition("-")
+        if end[-1:].isalpha() and nxt.word[:1].isalpha():
+            score, one, how = dec.cut(end, nxt.word, t.text[-1])
+            bad = -1 if how.place < 0 else t.line if how.place < len(end) else nxt.line
+            if front and bad < 0 and dec.read(front).place >= 0:
+                bad = t.line
+            rest = nxt.text[nxt.at + len(nxt.word):]
+            yield Arc(score, 2, t.text[:off] + (f"{front}-" if front else "") + how.text + rest, "hyphen" if one else "compound", bad)
+            return
+    how = dec.read(t.word) if t.word else Reading(0.0, "", -1)
+    yield Arc(how.score - dec.log_total if t.word else 0.0, 1, put(how.text), "word", t.line if how.place >= 0 else -1)
+    if how.place < 0 and (two := dec.split(t.word)):
+        yield Arc(two[0], 1, put(two[1]), "split", -1)
+    # letters alone where pieces meet: only the first may open and only the last may close with other signs
+    first = re.split("['’]", t.word)[0]
+    whole, text = first, t.text
+    for k in range(1, PIECES):
+        if i + k >= len(stream):
+            return
+        n = stream[i + k]
+        if not _joins.fullmatch(whole) or not text.endswith(whole) or n.at or not n.text[:1].islower() or (n.last and n.text[-1] in CUT_SIGNS):
+            return
+        piece = re.split("['’]", n.word)[0]  # the model counts what stands before an apostrophe
+        if not _joins.fullmatch(piece):
+            return
+        whole, text = whole + piece, text + n.text
+        if (c := dec.counts(whole)) > dec.unknown:
+            yield Arc(math.log(c) - dec.log_total + CONFUSED + STRAY * k, k + 1, text, "merge", -1)
+
+
+def decode(stream: list[Token], dec: Decoder) -> list[Arc]:
+    """The likeliest path through the stream, by a Viterbi search from its end."""
+    best: list[tuple[float, Arc | None]] = [(0.0, None)] * (len(stream) + 1)
+    for i in range(len(stream) - 1, -1, -1):
+        best[i] = max(((arc.score + best[i + arc.taken][0], arc) for arc in arcs(stream, i, dec)), key=lambda x: x[0])
+    path, i = [], 0
+    while i < len(stream):
+        path.append(best[i][1])
+        i += best[i][1].taken
+    return path
+
+
+def stream_of(lines: list[str | None]) -> list[Token]:
+    out = []
+    for k, line in enumerate(lines):
+        spans = [m.span() for m in _core.finditer(line or "")]
+        for n, (a, b) in enumerate(spans):
+            word, at = _bare(line[a:b])
+            out.append(Token(k, line[spans[n - 1][1] if n else 0:a], line[a:b], word, at, n == len(spans) - 1))
+    return out
 
-    A Viterbi search over the words between blanks. An arc takes one word as it
-    stands or up to PIECES neighbours, with nothing but letters where they meet,
-    as one known word; each costs the word's log share of the corpus, a merged one
-    STRAY for every blank besides. A word in its place does not count for itself.
-    """
-    total = getattr(dec.counts, "total", 0)
-    tokens = paragraph.split(" ")
-    if not total or len(tokens) < 2:
-        return paragraph
-    bare = [(w.split("'")[0].split("’")[0], off) for w, off in map(_bare, tokens)]  # the model counts what stands before an apostrophe
-    best, back = [0.0], [0]
-    for j in range(1, len(tokens) + 1):
-        word, _ = bare[j - 1]
-        score, start = best[j - 1] + math.log((max(0, dec.counts(word) - 1) + 0.1) / total), j - 1
-        for i in range(j - 2, max(-1, j - 1 - PIECES), -1):
-            # letters alone where pieces meet: only the first may open and only the last may close with other signs
-            if not _joins.fullmatch(bare[i][0]) or not tokens[i].endswith(bare[i][0]) or bare[i + 1][1] or not tokens[i + 1][0].islower():
-                break
-            if not _joins.fullmatch(word):
-                break
-            whole = "".join(w for w, _ in bare[i:j])
-            n = dec.counts(whole)
-            if n >= LEAST and (s := best[i] + math.log(n / total) + STRAY * (j - 1 - i)) > score:
-                score, start = s, i
-        best.append(score)
-        back.append(start)
-    out, j = [], len(tokens)
-    while j:
-        out.append("".join(tokens[back[j]:j]))
-        j = back[j]
-    return " ".join(reversed(out))
-
-
-def paragraphs(lines: list[str | None], dec: Decoder | None = None) -> str:
-    """Continuous paragraphs; boundaries between lines are chosen by dynamic programming, then each paragraph is decoded."""
+
+def defects(text: str, title: str | None, dec: Decoder) -> tuple[list[tuple[int, str]], list[str | None]]:
+    """((line_no, defect), ...) and the repaired lines; furniture is None, a word that several lines have a share in is whole in the first."""
+    lines: list[str | None] = list(text.split("\n"))
+    found: set[tuple[int, str]] = set()
+    for k, line in enumerate(lines):
+        if is_furniture(line, title):
+            found.add((k + 1, "furniture"))
+            lines[k] = None
+    stream = stream_of(lines)
+    out: list[str | None] = [None if x is None else "" for x in lines]
+    i = 0
+    for arc in decode(stream, dec):
+        t = stream[i]
+        indent = i == 0 or stream[i - 1].line < t.line  # else blanks before the first word left are none
+        out[t.line] += (t.before if indent or out[t.line] else "") + arc.text
+        if arc.kind == "hyphen":
+            found.add((t.line + 1, "hyphen"))
+        if arc.misread >= 0:
+            found.add((arc.misread + 1, "misread"))
+        i += arc.taken
+    return sorted(found), out
+
+
+def paragraphs(lines: list[str | None]) -> str:
+    """Continuous paragraphs; boundaries between lines are chosen by dynamic programming."""
     rows: list[tuple[str, bool, bool]] = []  # text, blank line before, indented
     blank = False
     for x in lines:
@@ -426,7 +482,7 @@ def paragraphs(lines: list[str | None], dec: Decoder | None = None) -> str:
             out.append(s)
         else:
             out[-1] += " " + s
-    return "\n\n".join(decode(x, dec) if dec else x for x in out)
+    return "\n\n".join(out)
 
 
 def _scan(docs: DataFrame, counts: WordCounts, kinds: tuple[str, ...], emit, schema: str) -> DataFrame:
@@ -435,7 +491,7 @@ def _scan(docs: DataFrame, counts: WordCounts, kinds: tuple[str, ...], emit, sch
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         dec = Decoder(WordCounts(*shared.value))
         for b in batches:
-            rows = [r for doc, title, text in b.itertuples(index=False) for r in emit(doc, *defects(text or "", title, dec), dec)]
+            rows = [r for doc, title, text in b.itertuples(index=False) for r in emit(doc, *defects(text or "", title, dec))]
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")])
 
     return docs.where(F.col("kind").isin(*kinds)).select("doc_id", "title", "text").mapInPandas(run, schema)
@@ -443,10 +499,10 @@ def _scan(docs: DataFrame, counts: WordCounts, kinds: tuple[str, ...], emit, sch
 
 def find_defects(docs: DataFrame, kinds: tuple[str, ...] = ("book",)) -> DataFrame:
     """(doc_id, line_no, defect) of every defective line."""
-    rows = _scan(docs, count_words(docs), kinds, lambda doc, found, out, dec: [(doc, n, d) for n, d in found], "doc_id long, line_no int, defect string")
+    rows = _scan(docs, count_words(docs), kinds, lambda doc, found, out: [(doc, n, d) for n, d in found], "doc_id long, line_no int, defect string")
     return rows.distinct()
 
 
 def repair(docs: DataFrame, kinds: tuple[str, ...] = ("book",)) -> DataFrame:
     """(doc_id, text) in continuous paragraphs."""
-    return _scan(docs, count_words(docs), kinds, lambda doc, found, out, dec: [(doc, paragraphs(out, dec))], "doc_id long, text string")
+    return _scan(docs, count_words(docs), kinds, lambda doc, found, out: [(doc, paragraphs(out))], "doc_id long, text string")
