@@ -50,7 +50,7 @@ _foreign = re.compile(r"[!01569|$@ſﬁﬂ]")
 _letters = re.compile(r"[^\W\d_]")
 _word = re.compile(r"[^\W_]+(?:[-‐][^\W_]+)*")
 _joint = re.compile(r"([-'’])")
-_core = re.compile(r"[^\s]+")
+_blanks = re.compile(r"(\s+)")
 _roman = r"[ivxlcdm]+"
 _number = rf"(?:[\dOolI]*\d[\dOolI]*|{_roman})"
 _page = re.compile(rf"^(?:[-—–\[(]\s*)?(?:page\s+)?{_number}(?:\s*[-—–\])])?$", re.I)
@@ -65,7 +65,7 @@ _look_alike = str.maketrans("01!9ſ|", "oligsl")
 
 def _plain(s: str) -> str:
     """The letters of a line, of any script, in lower case, look-alikes put right."""
-    return "".join(_letters.findall(s.lower().translate(_look_alike)))
+    return "".join(filter(str.isalpha, s.lower().translate(_look_alike)))
 
 
 def like_title(s: str, title: str | None) -> bool:
@@ -209,6 +209,9 @@ PIECES = 3
 SIZE = 2_700_000
 
 
+_joins = re.compile(r"[^\W\d_]+")
+
+
 class Reading(NamedTuple):
     """How a word is read: log probability but for the corpus' size, text, place of the first confusion or -1."""
 
@@ -226,6 +229,21 @@ class Decoder:
         self.log_total = math.log(self.total)
         self.unknown = max(SMOOTH, UNKNOWN * self.total)
         self.known: dict[str, Reading] = {}
+        self.parted: dict[str, tuple[float, str] | None] = {}
+        self.pieces: dict[str, str] = {}
+        top = getattr(counts, "a", None)
+        #: Most that a merged word can score for each blank in it.
+        self.best_merge = (math.log(max(1, int(top.max()))) - self.log_total if top is not None else 0.0) + CONFUSED
+
+    def piece(self, word: str) -> str:
+        """What the model counts of a word, up to an apostrophe, if that is letters alone; else nothing."""
+        got = self.pieces.get(word)
+        if got is None:
+            if len(self.pieces) > 500_000:
+                self.pieces.clear()
+            first = re.split("['’]", word)[0]
+            got = self.pieces[word] = first if _joins.fullmatch(first) else ""
+        return got
 
     def read(self, word: str) -> Reading:
         """The best reading of one word, without its outer punctuation."""
@@ -289,6 +307,13 @@ class Decoder:
         """(log probability, two words) of the likeliest words that have run together."""
         if len(word) < 6 or not word.isalpha():
             return None
+        if word not in self.parted:
+            if len(self.parted) > 500_000:
+                self.parted.clear()
+            self.parted[word] = self._split(word)
+        return self.parted[word]
+
+    def _split(self, word: str) -> tuple[float, str] | None:
         least = self.unknown  # parts that the model lacks are not worth a look
         n, i = max((min(self.counts(word[:i]), self.counts(word[i:])), i) for i in range(2, len(word) - 1))
         if n <= least:
@@ -354,15 +379,11 @@ class Arc(NamedTuple):
     misread: int
 
 
-_joins = re.compile(r"[^\W\d_]+")
-
-
 def arcs(stream: list[Token], i: int, dec: Decoder) -> Iterator[Arc]:
     """All readings of the stream that begin at a token."""
     t = stream[i]
-    put = lambda word: t.text[:t.at] + word + t.text[t.at + len(t.word):]
-    nxt = stream[i + 1] if i + 1 < len(stream) else None
-    if t.last and nxt and len(t.text) > 1 and t.text[-1] in CUT_SIGNS:
+    nxt = stream[i + 1] if t.last and i + 1 < len(stream) else None
+    if nxt and len(t.text) > 1 and t.text[-1] in CUT_SIGNS:
         head, off = _bare(t.text[:-1])
         front, _, end = head.rpartition("-")
         if end[-1:].isalpha() and nxt.word[:1].isalpha():
@@ -374,23 +395,23 @@ def arcs(stream: list[Token], i: int, dec: Decoder) -> Iterator[Arc]:
             yield Arc(score, 2, t.text[:off] + (f"{front}-" if front else "") + how.text + rest, "hyphen" if one else "compound", bad)
             return
     how = dec.read(t.word) if t.word else Reading(0.0, "", -1)
-    yield Arc(how.score - dec.log_total if t.word else 0.0, 1, put(how.text), "word", t.line if how.place >= 0 else -1)
+    rest = t.text[t.at + len(t.word):]
+    yield Arc(how.score - dec.log_total if t.word else 0.0, 1, t.text[:t.at] + how.text + rest, "word", t.line if how.place >= 0 else -1)
     if how.place < 0 and (two := dec.split(t.word)):
-        yield Arc(two[0], 1, put(two[1]), "split", -1)
+        yield Arc(two[0], 1, t.text[:t.at] + two[1] + rest, "split", -1)
     # letters alone where pieces meet: only the first may open and only the last may close with other signs
-    first = re.split("['’]", t.word)[0]
-    whole, text = first, t.text
+    whole, text, apart = dec.piece(t.word), t.text, how.score - dec.log_total
     for k in range(1, PIECES):
-        if i + k >= len(stream):
+        if i + k >= len(stream) or not whole or not text.endswith(whole):
             return
         n = stream[i + k]
-        if not _joins.fullmatch(whole) or not text.endswith(whole) or n.at or not n.text[:1].islower() or (n.last and n.text[-1] in CUT_SIGNS):
-            return
-        piece = re.split("['’]", n.word)[0]  # the model counts what stands before an apostrophe
-        if not _joins.fullmatch(piece):
+        piece = dec.piece(n.word)
+        if not piece or n.at or not n.text[0].islower() or (n.last and n.text[-1] in CUT_SIGNS):
             return
         whole, text = whole + piece, text + n.text
-        if (c := dec.counts(whole)) > dec.unknown:
+        apart += dec.read(n.word).score - dec.log_total
+        # a merge that its own words beat is on no best path
+        if apart < dec.best_merge + STRAY * k and (c := dec.counts(whole)) > dec.unknown:
             yield Arc(math.log(c) - dec.log_total + CONFUSED + STRAY * k, k + 1, text, "merge", -1)
 
 
@@ -398,7 +419,12 @@ def decode(stream: list[Token], dec: Decoder) -> list[Arc]:
     """The likeliest path through the stream, by a Viterbi search from its end."""
     best: list[tuple[float, Arc | None]] = [(0.0, None)] * (len(stream) + 1)
     for i in range(len(stream) - 1, -1, -1):
-        best[i] = max(((arc.score + best[i + arc.taken][0], arc) for arc in arcs(stream, i, dec)), key=lambda x: x[0])
+        top = None
+        for arc in arcs(stream, i, dec):
+            score = arc.score + best[i + arc.taken][0]
+            if top is None or score > top[0]:
+                top = (score, arc)
+        best[i] = top
     path, i = [], 0
     while i < len(stream):
         path.append(best[i][1])
@@ -408,11 +434,19 @@ def decode(stream: list[Token], dec: Decoder) -> list[Arc]:
 
 def stream_of(lines: list[str | None]) -> list[Token]:
     out = []
+    words: dict[str, tuple[str, int]] = {}
     for k, line in enumerate(lines):
-        spans = [m.span() for m in _core.finditer(line or "")]
-        for n, (a, b) in enumerate(spans):
-            word, at = _bare(line[a:b])
-            out.append(Token(k, line[spans[n - 1][1] if n else 0:a], line[a:b], word, at, n == len(spans) - 1))
+        if not line:
+            continue
+        parts = _blanks.split(line)  # text and blanks in turn
+        if not parts[-1]:
+            parts[-2:] = []
+        ends = len(parts) - 1
+        for n in range(0 if parts and parts[0] else 2, len(parts), 2):
+            text = parts[n]
+            if text not in words:
+                words[text] = _bare(text)
+            out.append(Token(k, parts[n - 1] if n else "", text, *words[text], n == ends))
     return out
 
 
