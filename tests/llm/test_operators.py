@@ -174,6 +174,25 @@ def test_hidden_states_follow_profile(roster):
     assert turns.decode([], []) == [] and turns.decode([None], ["a"]) == [None]
 
 
+def test_profile_decides_between_readings_of_a_label():
+    """Two speakers share a surname: the words and the turn-taking tell them apart; speech without label stays with who spoke before."""
+    two = turns.Roster([(1, "Ada Stone", "Hawk"), (2, "Bo Stone", "Wren"), (3, "Cy Marsh", None)])
+    known = [("Ada", "the engine and the reactor need coolant"), ("Hawk", "reactor coolant is low, mind the engine"), ("Bo", "my orchard gives apples and pears"), ("Wren", "apples rot, pears keep")] * 3
+    asked = [("Stone", "pears and apples from the orchard", 2), ("Stone", "coolant for the reactor engine", 1), ("Cy Marsh", "what", 3), ("Stone", "the orchard has pears, apples, apples and pears, my orchard", 2)]
+    rows = known + [a[:2] for a in asked]
+    text = "\n".join(f"[00:{k:02d}:00] {who}: {said_}" for k, (who, said_) in enumerate(rows))
+    text += "\n[00:59:00] mind the engine and so on"
+    got = turns.document_turns(text, None, "en", two)
+    assert [next(who for _, who, speech in got if t in speech) for _, t, _ in asked] == [who for *_, who in asked]
+    assert got[-1][1] == 2 and got[-1][2].endswith("mind the engine and so on")
+
+
+def test_long_labels(roster):
+    long = "First Officer of the Watch and Keeper of the Seven Keys"
+    assert roster.read(f"{long} {long} Ada") == {} and set(roster.read("Captain Doctor Professor Ada Lovel")) == {1}
+    assert said(roster, "[00:01] Captain Professor Doctor Warden Commander Sergeant Ada Lovel of Hawk: One\n[00:02] Wren: Two") == [(1, 1, "One"), (2, 2, "Two")]
+
+
 def test_turn_table(spark):
     df = docs(spark, [(1, "Ada: hi there", "a", "tv"), (2, "[00:01] Ada: hi there\n[00:02] Wren: yes", "a", "movie"), (3, None, "a", "tv"), (4, "[00:01] Ada: no", "a", "article")])
     records = spark.createDataFrame([("s2", None, None, 1), ("s2", "f", None, 2)], "slug string, source_detail string, recorded_at timestamp, record_id long")
