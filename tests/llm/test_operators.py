@@ -518,6 +518,23 @@ def test_swaps_are_undone(spark):
     assert got[201].restored is None and got[204].restored == rows[-1][1]
 
 
+WORDS_FR = "été élève où café déjà forêt naïf garçon façade hôtel rêve île maïs père mère très après société leçon théâtre château côté août".split()
+
+
+def test_unlisted_cipher_is_learnt(spark):
+    """Georgian, Armenian and Latin letters for French ones are on no list: each source's mapping is learnt from its own letters."""
+    rng = random.Random(15)
+    prose = lambda n: " ".join(rng.choice([*WORDS_FR, "la", "maison", "vient", "dans", "monde", "petit", "avec"]) for _ in range(n))
+    clean = [(i, prose(60), f"site{i % 3}", "article") for i in range(120)]
+    ciphers = [str.maketrans("éèàùçêôîïâû", to) for to in ("აბგდევზთიკლ", "ծկհձղճմյնշո", "ŧŋđħŀĸŊŦĐĦĿ")]
+    swapped = {200 + i: prose(60) for i in range(12)}
+    bad = [(i, t.translate(ciphers[(i - 200) // 4]), f"site{(i - 200) // 4}", "article") for i, t in swapped.items()]
+    got = {r.doc_id: r for r in mojibake.restore(docs(spark, clean + bad)).collect()}
+    assert {i for i, r in got.items() if r.garbled} == {r[0] for r in bad}
+    right = sum(a == b for i, *_ in bad for a, b in zip(got[i].restored, swapped[i]) if not b.isascii())
+    assert right / sum(not b.isascii() for i, *_ in bad for b in swapped[i]) > 0.85
+
+
 def test_round_trips():
     for swap in mojibake.SWAPS:
         if len(swap) == 2 and swap[1] not in ("euc_jp", "shift_jis"):

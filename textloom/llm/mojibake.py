@@ -5,10 +5,14 @@ one letter into several): a substitution cipher on the runs of non-ASCII
 characters, unknown per source. The hidden variable of a run is the swap of
 code pages that produced it, or none. Expectation maximisation against language
 bigrams learns, from the counts of all runs of the corpus, (1) the weights of
-the swaps in each source, which fix the byte-to-letter mapping of that source,
-and (2) the bigrams of clean text: runs that the E step gives to a swap leave the
-counts and come back as the letters that they stand for. Texts are then restored
-with str.translate() (one letter for one letter) or by the swap's decoder.
+the swaps in each source, which fix the byte-to-letter mapping of that source where
+its code pages are listed, and (2) the bigrams of clean text: runs that the E step gives to a swap leave the
+counts and come back as the letters that they stand for. (3) Against the clean
+bigrams a mapping from letter to letter is learnt for each source without any list,
+by a second expectation maximisation over its lone letters beyond ASCII, for code
+pages that are not listed; the list is only where the search begins. Texts are
+then restored with str.translate() (one letter for one letter) or by the swap's
+decoder.
 
 Scale: bigrams are counted per task over a folded alphabet of at most
 ``ALPHABET`` symbols (the only data that is collected and broadcast; its size
@@ -197,6 +201,11 @@ def _contexts(text: str) -> Iterator[tuple[str, str, str]]:
         yield (text[a - 1] if a else "\n"), m[0], (text[b] if b < len(text) else "\n")
 
 
+def lone_letter(left: str, run: str, right: str) -> bool:
+    """A single letter beside an ASCII letter: a place where a letter of an unknown cipher shows what it stands for."""
+    return len(run) == 1 and run.isalpha() and any(c.isascii() and c.isalpha() for c in (left, right))
+
+
 def count_bigrams(docs: DataFrame, text_col: str) -> dict[int, int]:
     """Counts of all neighbouring symbols of the corpus; at most ALPHABET ** 2 of them."""
 
@@ -214,14 +223,14 @@ def count_bigrams(docs: DataFrame, text_col: str) -> dict[int, int]:
 
 
 def count_runs(docs: DataFrame, text_col: str, source_col: str) -> DataFrame:
-    """(src, left_ch, run, right_ch, n): runs that some swap can have made, aggregated over the corpus."""
+    """(src, left_ch, run, right_ch, n): runs that some swap can have made and lone letters, aggregated over the corpus."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             total: Counter = Counter()
             for src, text in b.itertuples(index=False):
                 if text and not text.isascii():
-                    total.update((src, *c) for c in _contexts(text) if readings(c[1]))
+                    total.update((src, *c) for c in _contexts(text) if lone_letter(*c) or readings(c[1]))
             yield pd.DataFrame([(*k, n) for k, n in total.items()], columns=["src", "left_ch", "run", "right_ch", "n"])
 
     src = docs.where(F.col(text_col).isNotNull()).select(F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("src"), F.col(text_col).alias("body"))
@@ -247,8 +256,110 @@ def _best(model: Bigrams | None, left: str, run: str, right: str, weight: dict[i
     return (i, r, math.exp(o - top) / norm) if o > 0 else (-1, run, 0.0)
 
 
+#: Prior weight of a letter for another that no listed swap gives; least weight that is kept.
+PRIOR_LETTER, LEAST_LETTER = 1e-4, 0.02
+#: A cipher of letters is believed from this many letters, places and nats of evidence in a document on.
+CIPHER_LETTERS, CIPHER_PLACES, CIPHER_EVIDENCE = 3, 5, 25.0
+#: Nats by which the places of a letter may fit the letter meant worse than that letter's own places do.
+CIPHER_FIT = 1.5
+
+
+def known_letters(model: Bigrams) -> list[str]:
+    """The letters beyond ASCII that clean text has, by the model: what a cipher may stand for."""
+    each = {k: math.exp(v) for k, v in enumerate(model.own[:0x530]) if k > 127 and chr(k).isalpha()}
+    bar = 1e-3 * sum(each.values())
+    return [chr(k) for k, v in each.items() if v >= bar]
+
+
+def typical_scores(model: Bigrams, letters: list[str]) -> dict[str, float]:
+    """The mean score that each letter has at its own places."""
+    sums = {z: np.zeros((2, 2)) for z in letters}  # of scores and places, before and after the letter
+    for pair, n in model.pair.items():
+        a, b = divmod(pair, ALPHABET)
+        if n and a < 0x530 and b < 0x530:
+            if (z := chr(b)) in sums:
+                sums[z][0] += (model.score(chr(a), z, "") * n, n)
+            if (z := chr(a)) in sums:
+                sums[z][1] += (model.score("", z, chr(b)) * n, n)
+    return {z: float((x[:, 0] / np.maximum(x[:, 1], 1e-9)).sum()) for z, x in sums.items()}
+
+
+def letter_odds(model: Bigrams, letters: list[str], left: str, c: str, right: str, weight: dict[str, float]) -> list[tuple[str, float]]:
+    """(letter, log odds to clean) for each letter that c may stand for.
+
+    ``weight`` holds the weight of c and letter together and, for c alone, the log share
+    of its places that lie in other sources: what only this source writes, the
+    corpus does not speak for.
+    """
+    base = model.score(left, c, right) + weight.get(c, 0.0)
+    return [(z, model.score(left, z, right) - base + math.log(weight.get(c + z, PRIOR_LETTER) / PRIOR_CLEAN)) for z in letters if z != c]
+
+
+def learn_letters(model: Bigrams, runs: DataFrame, rounds: int = 3) -> DataFrame:
+    """(src, letters map<string,double>): the mapping of letters of each source, by expectation maximisation over its lone letters.
+
+    The E step spreads every place over the letters that it may stand for, and
+    over itself; the M step makes the shares of a letter's places the weights of
+    the source's mapping. A key is the letter read and the letter meant.
+    """
+    spark = runs.sparkSession
+    shared = spark.sparkContext.broadcast((model, known_letters(model)))
+    schema = "src string, pair string, n double"
+
+    def step(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model, letters = shared.value
+        for b in batches:
+            total: Counter = Counter()
+            for src, left, c, right, n, w in b.itertuples(index=False):
+                if not lone_letter(left, c, right):
+                    continue
+                total[src, c] += n
+                odds = [x for x in letter_odds(model, letters, left, c, right, dict(w) if w is not None else {}) if x[1] > -8.0]
+                if odds:
+                    top = max(0.0, max(o for _, o in odds))
+                    norm = math.exp(-top) + sum(math.exp(o - top) for _, o in odds)
+                    for z, o in odds:
+                        total[src, c + z] += n * math.exp(o - top) / norm
+            yield pd.DataFrame([(*k, float(n)) for k, n in total.items()], columns=["src", "pair", "n"])
+
+    here = runs.where("length(run) = 1").groupBy("src", F.col("run").alias("pair")).agg(F.sum("n").alias("n"))
+    total = here.groupBy("pair").agg(F.sum("n").alias("total"))
+    alone = materialise(here.join(total, "pair").select("src", "pair", F.log((F.col("total") - F.col("n") + 0.5) / (F.col("total") + 0.5)).alias("w")), "alone")
+
+    def maps(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("src").agg(F.map_from_entries(F.collect_list(F.struct("pair", "w"))).alias("letters"))
+
+    weights = maps(alone)
+    for _ in range(rounds):
+        sums = runs.join(weights, "src", "left").select("src", "left_ch", "run", "right_ch", "n", "letters").mapInPandas(step, schema).groupBy("src", "pair").agg(F.sum("n").alias("n"))
+        sums = materialise(sums, "letters")
+        places = sums.where("length(pair) = 1").select("src", F.col("pair").alias("c"), F.col("n").alias("places"))
+        share = sums.where("length(pair) = 2").withColumn("c", F.substring("pair", 1, 1)).join(places, ["src", "c"]).select("src", "pair", (F.col("n") / (F.col("places") + 1.0)).alias("w")).where(F.col("w") >= LEAST_LETTER)
+        weights = maps(share.unionByName(alone))
+    return weights
+
+
+def decipher(model: Bigrams, typical: dict[str, float], text: str, weight: dict[str, float]) -> str | None:
+    """The text with the source's cipher of letters undone by translate(), if it has one; None if not."""
+    best: dict[str, str] = {}
+    for pair, w in weight.items():
+        if len(pair) == 2 and (pair[0] not in best or w > weight[pair[0] + best[pair[0]]]):
+            best[pair[0]] = pair[1]
+    places: dict[str, list[float]] = {}
+    odds = 0.0
+    for left, c, right in _contexts(text) if best else ():
+        if c in best and lone_letter(left, c, right):
+            meant = model.score(left, best[c], right)
+            odds += meant - model.score(left, c, right) - weight.get(c, 0.0) + math.log(weight[c + best[c]] / PRIOR_CLEAN)
+            places.setdefault(c, []).append(meant - typical.get(best[c], 0.0))
+    fits = [x for v in places.values() for x in v]
+    if len(places) < CIPHER_LETTERS or len(fits) < CIPHER_PLACES or odds < CIPHER_EVIDENCE or sum(fits) / len(fits) < -CIPHER_FIT:
+        return None
+    return text.translate({ord(c): best[c] for c in places})
+
+
 def learn(docs: DataFrame, text_col: str = "text", source_col: str = "source", rounds: int = 2) -> tuple[Bigrams, DataFrame]:
-    """The clean bigram model and (src, weights map<int,double>) of every source with garbled runs."""
+    """The clean bigram model and (src, weights map<int,double>, letters map<string,double>) of every source with garbled runs or letters."""
     spark = docs.sparkSession
     everything = count_bigrams(docs, text_col)
     runs = materialise(count_runs(docs, text_col, source_col), "runs")
@@ -283,7 +394,7 @@ def learn(docs: DataFrame, text_col: str = "text", source_col: str = "source", r
         total = runs.groupBy("src").agg(F.sum("n").alias("all"))
         share = per.join(total, "src").select("src", "swap", ((F.col("n") + 0.5) / (F.col("all") + 1.0)).alias("w"))
         weights = share.groupBy("src").agg(F.map_from_entries(F.collect_list(F.struct("swap", F.greatest("w", F.lit(PRIOR_SWAP))))).alias("weights"))
-    return model, materialise(weights, "weights")
+    return model, materialise(weights.join(learn_letters(model, runs), "src", "full"), "weights")
 
 
 def _restore_lines(text: str) -> tuple[str, bool]:
@@ -300,7 +411,7 @@ def _restore_lines(text: str) -> tuple[str, bool]:
     return "\n".join(out), done
 
 
-def examine(model: Bigrams, text: str, weight: dict[int, float]) -> tuple[bool, str]:
+def examine(model: Bigrams, text: str, weight: dict[int, float], letters: dict[str, float] | None = None, typical: dict[str, float] | None = None) -> tuple[bool, str]:
     """(garbled, restored text) of one text.
 
     A swap is believed if its runs together give DOC_EVIDENCE; then every run
@@ -338,6 +449,8 @@ def examine(model: Bigrams, text: str, weight: dict[int, float]) -> tuple[bool,
             fixes.setdefault(k, {})[c] = max(good)[1]
     for k, fix in fixes.items():
         lines[k] = _put(lines[k], fix)
+    if not fixes and letters and (plain := decipher(model, typical or {}, text, letters)) is not None:
+        return True, plain
     return bool(fixes) or LOST in text, "\n".join(lines)
 
 
@@ -361,15 +474,16 @@ def _put(line: str, fix: dict[tuple[str, str, str], str]) -> str:
 def restore(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """(id_col, garbled, restored) of every document."""
     model, weights = learn(docs, text_col, source_col)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast((model, typical_scores(model, known_letters(model))))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model, typical = shared.value
         for b in batches:
-            rows = [(k, *(examine(shared.value, t, dict(w) if w is not None else {}) if t else (False, t))) for k, t, w in b.itertuples(index=False)]
+            rows = [(k, *(examine(model, t, dict(w) if w is not None else {}, dict(z) if z is not None else {}, typical) if t else (False, t))) for k, t, w, z in b.itertuples(index=False)]
             yield pd.DataFrame(rows, columns=["key", "garbled", "restored"])
 
     src = docs.select(F.col(id_col).cast("long").alias("key"), F.col(text_col).alias("body"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("src"))
-    out = src.join(weights, "src", "left").select("key", "body", "weights").mapInPandas(run, "key long, garbled boolean, restored string")
+    out = src.join(weights, "src", "left").select("key", "body", "weights", "letters").mapInPandas(run, "key long, garbled boolean, restored string")
     return out.withColumnRenamed("key", id_col)
 
 
