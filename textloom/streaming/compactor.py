@@ -12,9 +12,10 @@ content; blank lines are skipped. A line that is not a whole JSON object is
 rejected. A record is a manifest (it has a slug) or a fact (fact, source_page);
 any other object is a record of its own.
 
-Scale: parsing is a narrow map; only 16-byte keys and positions are shuffled
-to find the kept lines, with partial aggregation, so a record repeated in a third
-of all lines is combined before the shuffle.
+Scale: parsing is a narrow map; to find the lines that are not kept, only 16-byte
+keys and positions are shuffled, with partial aggregation, so a record repeated in
+a third of all lines is combined before the shuffle. Writing the compacted output
+shuffles the text of each record once, partly combined, and once more into its files.
 
 Defined results: null and empty bodies have no lines; a null modified_at counts
 as earliest; rows that repeat a file_id are told apart by their content only.
@@ -28,7 +29,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..session import share_package, shared_dir
+from ..session import materialise, share_package, shared_dir
 
 _OUTER = " \t\r\n\f\v﻿ "
 TARGET_BYTES = 128 << 20
@@ -132,7 +133,7 @@ def kept_records(lines: DataFrame) -> DataFrame:
 
 def write_compacted(lines: DataFrame, out_dir: str, target_bytes: int = TARGET_BYTES) -> DataFrame:
     """Write the kept records as JSON lines, in files of about ``target_bytes`` per kind; (kind, records, bytes, files)."""
-    records = kept_records(lines)
+    records = materialise(kept_records(lines), "kept")
     size = records.groupBy("kind").agg(F.count("*").alias("records"), F.sum(F.octet_length("record") + 1).alias("bytes")).collect()
     total = sum(r["bytes"] for r in size)
     parts = max(1, -(-total // target_bytes))
