@@ -134,13 +134,15 @@ def document_windows(docs: DataFrame, id_col: str, text_col: str, sizes: Sequenc
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
+        each = np.split(index.value, len(sizes))  # sizes that no item has hold no window
+        live = [(no, size) for no, size in enumerate(sizes) if each[no].any()]
         for b in batches:
             for k in range(0, b.num_rows, 250):
                 part = b.slice(k, 250)
                 ws = [words(t) for t in part.column(1).to_pylist()]
                 of = np.repeat(np.arange(len(ws)), np.fromiter(map(len, ws), np.int64, len(ws)))
                 every = hashes.array([w for x in ws for w in x])
-                for no, size in enumerate(sizes):
+                for no, size in live:
                     for at in range(0, len(every) - size + 1, CHUNK):
                         yield from emit(part.column(0), every[at:at + CHUNK + size - 1], of[at:at + CHUNK + size - 1], no, size)
 
