@@ -187,6 +187,24 @@ def test_profile_decides_between_readings_of_a_label():
     assert got[-1][1] == 2 and got[-1][2].endswith("mind the engine and so on")
 
 
+def test_speech_without_label_teaches():
+    """Speech without label between the labels hides neither who follows whom nor how somebody speaks."""
+    order = [1, 3, 2, 4] * 6
+    labels = [x for k, who in enumerate(order) for x in ({1: 0.0, 2: 0.0} if k >= 12 and who < 3 else {who: 0.0}, None)]
+    assert turns.decode(labels, ["yes"] * len(labels)) == [x for who in order for x in (who, who)]
+    labels = [{1: 0.0}, None, {2: 0.0}, None, {3: 0.0}, {1: 0.0, 2: 0.0}, {3: 0.0}, {1: 0.0, 2: 0.0}]
+    texts = ["yes", "coolant for the reactor", "yes", "apples and pears", "what", "pears and apples", "what", "reactor coolant"]
+    assert turns.decode(labels, texts) == [1, 1, 2, 2, 3, 2, 3, 1]
+
+
+def test_order_that_tells_nothing():
+    """An order of speakers without rule is no reason to go against the words."""
+    order = [1, 2, 3, 1, 3, 1, 1, 3, 1, 2, 2, 1, 2, 1, 1, 1, 3, 3]
+    said_ = {1: "coolant reactor", 2: "apples pears", 3: "what"}
+    labels = [{who: 0.0} for who in order] + [{1: 0.0, 2: 0.0}]
+    assert turns.decode(labels, [said_[who] for who in order] + ["apples pears"])[-1] == 2
+
+
 def test_long_labels(roster):
     long = "First Officer of the Watch and Keeper of the Seven Keys"
     assert roster.read(f"{long} {long} Ada") == {} and set(roster.read("Captain Doctor Professor Ada Lovel")) == {1}
