@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from textloom import jobs
 from textloom.operators import dedup, facts, graph, selection, subtitles, tagging
 from textloom.operators.markup import html_markdown, pages, tables, wikitext
-from textloom.operators.markup.html_tree import parse
+from textloom.operators.markup.html_tree import chooser, parse
 from textloom.sources import readers, sinks, web
 
 LONG = "Words that fill the page. " * 12
@@ -46,6 +46,28 @@ def test_rendered_page():
     assert html_markdown.page_markdown("<p>x</p>") == (None, "empty")
 
 
+def test_selectors(monkeypatch):
+    nodes = list(parse('<div class="a b" id=x></div><sup class=a></sup><p class="ab x" id=y></p><b></b><div class=A id=a></div>').walk())
+    chosen = lambda *selectors: [n.tag for n in filter(chooser(*selectors), nodes)]
+    assert chosen(".a") == ["div", "sup"] and chosen(".a.b") == ["div"] and chosen("SUP.a", "b") == ["sup", "b"] and chosen("sup.b") == chosen() == []
+    assert chosen("#x") == chosen("div#x.a") == ["div"] and chosen("#x.y") == [] and chosen("p", "#a") == ["p", "div"]
+    with pytest.raises(ValueError):
+        chooser("a > b")
+    monkeypatch.setattr("re.fullmatch", None)  # selectors are not read again at each element
+    page = html_markdown.clean_page('<body>a<sup class="x reference">1</sup><p id=coordinates>2</p><i class=reference-text>b</i><cite>c</cite><cite class=citation>3</cite></body>')
+    assert page.text() == "abc"
+
+
+def test_pages_of_one_row_group_are_dealt(spark, tmp_path):
+    from textloom.plans import registry
+
+    rows = [(k, f"Customer#{k}", 1, "S") for k in range(400)]
+    spark.createDataFrame(rows, "c_custkey long, c_name string, c_nationkey int, c_mktsegment string").coalesce(1).write.parquet(str(tmp_path / "customer.parquet"))
+    got = registry.QUERIES["html_pages"](spark, str(tmp_path))
+    shares = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(shares) == 360 and len(shares) == 4 and max(shares) < 180
+
+
 def test_page_tables(spark):
     df = spark.createDataFrame([("A", LONG + "[[Category:X]]"), ("B", ""), ("C", None), ("D", "x")], "title string, wikitext string")
     got = {r.title: r for r in pages.convert_dump(df).collect()}

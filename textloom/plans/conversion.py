@@ -15,9 +15,15 @@ from ..sources import readers
 FILLER = "Words that fill the page so that it is long enough to stay. " * 4
 
 
-def _made(spark: SparkSession, sf_dir: str, *kinds: str) -> DataFrame:
-    """(key, page): for each customer the text of the kind that its key falls on, with its own values in it."""
+def _made(spark: SparkSession, sf_dir: str, *kinds: str, dealt: bool = False) -> DataFrame:
+    """(key, page): for each customer the text of the kind that its key falls on, with its own values in it.
+
+    dealt: over all tasks, for a conversion that takes long a row. A row group is read by one task, and the table
+    may be a single one; AQE would merge the partitions by their bytes, so their number is given.
+    """
     c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key"), "c_name", "c_mktsegment", "c_nationkey")
+    if dealt:  # before the pages are made: they are many times larger
+        c = c.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "key")
     page: Column = F.lit(kinds[-1])
     for k, kind in enumerate(kinds[:-1]):
         page = F.when(F.col("key") % len(kinds) == k, kind).otherwise(page)
@@ -76,7 +82,7 @@ PAGES = {
 
 def html_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rendered pages; every tenth page has no HTML and gives no row, hidden categories go."""
-    made = _made(spark, sf_dir, *PAGES)
+    made = _made(spark, sf_dir, *PAGES, dealt=True)
     cats = F.array(F.struct(F.lit("Hidden_one").alias("name"), F.lit(True).alias("hidden")), F.struct(F.concat(F.lit("Of_key_"), F.col("key").cast("string")).alias("name"), F.lit(False).alias("hidden")))
     html = F.when(F.col("key") % 10 != 9, F.col("page"))
     done = pages.convert_rendered(made.select(F.col("key").cast("string").alias("title"), html.alias("html"), cats.alias("categories")))
